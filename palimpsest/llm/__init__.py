@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query -> its module here.
 MODULES = {
+    "op1_quality_divergence": "quality",
+    "op2_winnow_decontaminate": "decontaminate",
+    "op3_trigram_secrets": "secrets",
+    "op4_chosen_path_dedup": "near_dedup",
+    "op5_mixture_language": "language",
     "op6_retrieval_packing": "packing",
+    "op7_seed_extend_dedup": "substring_dedup",
     "op8_stratified_interleave": "sharding",
     "op9_transducer_token_counts": "token_counts",
+    "op10_bwt_merge_dedup": "suffix_dedup",
 }
 
 
