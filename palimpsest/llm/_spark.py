@@ -67,9 +67,14 @@ def sha(col: Column) -> Column:
     return F.sha2(col.cast("binary"), 256)
 
 
+#: Rows of keys (16 bytes each) that a join sends to every executor at most; more of them are shuffled.
+SEND_ROWS = 500_000
+
+
 def whole_rows(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """docs joined (semi or anti) with k1, k2 of keys; all columns of docs, whatever their names."""
-    k = (F.xxhash64("doc_id").alias("_k1"), F.xxhash64("text", "doc_id").alias("_k2"))
-    rows = docs.select(F.struct("*").alias("_row"), *k)
-    other = keys.select(F.col("k1").alias("_a"), F.col("k2").alias("_b"))
-    return rows.join(other, (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b")), how).select("_row.*")
+    own = written(keys.select(F.col("k1").alias("_a"), F.col("k2").alias("_b")).distinct())
+    if own.count() <= SEND_ROWS:
+        own = F.broadcast(own)
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("doc_id").alias("_k1"), F.xxhash64("text", "doc_id").alias("_k2"))
+    return rows.join(own, (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b")), how).select("_row.*")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm._spark import keyed, load, may_hold, membership, sha, written
+from palimpsest.llm._spark import keyed, load, may_hold, membership, sha, whole_rows, written
 from palimpsest.llm._vec import ALNUM, Words, chunks, winnow
 
 #: A span of SPAN words holds SPAN - GRAM + 1 grams, which is one winnowing window.
@@ -113,9 +113,7 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that hold no window of an item."""
-    from palimpsest.llm._spark import whole_rows
-
-    bad = decontaminate(docs, items).filter("contaminated").select("k1", "k2").distinct()
+    bad = decontaminate(docs, items).filter("contaminated")
     return whole_rows(docs, bad, "left_anti")
 
 

@@ -93,7 +93,7 @@ def fit_model(docs: DataFrame, rows: int = FIT_ROWS) -> Model | None:
         for lang, n in found.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([n.tobytes()])], names=["lang", "n"])
 
-    def add(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": [key[0]], "n": [sum(np.frombuffer(x) for x in frame["n"]).tobytes()]})
 
     # one row from each task and language, then one from each language

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm._spark import keyed, load, written
+from palimpsest.llm._spark import keyed, load, whole_rows, written
 from palimpsest.llm._vec import WHITE, Words, chunks, mix
 
 SHINGLE = 5
@@ -218,11 +218,18 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, trees: int = TREES) -> DataFrame:
-    """One row of docs, with all its columns, of each group of near duplicates: that with the least doc_id."""
-    good = near_duplicates(docs, trees).filter("kept").select(F.col("k1").alias("_a"), F.col("k2").alias("_b")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("doc_id").alias("_k1"), F.xxhash64("text", "doc_id").alias("_k2"))
-    kept = rows.join(good, (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b")), "left_semi")
-    return kept.dropDuplicates(["_k1", "_k2"]).select("_row.*")
+    """One row of docs, with all its columns, of each group of near duplicates: that with the least doc_id.
+
+    Of rows that agree in doc_id and text one stays.
+    """
+    groups = written(near_duplicates(docs, trees).select("k1", "k2", "kept"))
+    rest = whole_rows(docs, groups.filter("not kept"), "left_anti")
+    repeated = written(groups.filter("kept").groupBy("k1", "k2").count().filter("count > 1"))
+    if repeated.isEmpty():
+        return rest
+    once = whole_rows(rest, repeated, "left_anti")
+    more = whole_rows(rest, repeated, "left_semi").select(F.struct("*").alias("_row"), F.xxhash64("doc_id").alias("_k1"), F.xxhash64("text", "doc_id").alias("_k2"))
+    return once.unionByName(more.dropDuplicates(["_k1", "_k2"]).select("_row.*"))
 
 
 def op4_chosen_path_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

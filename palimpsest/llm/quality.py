@@ -12,7 +12,7 @@ COMMON_WORDS, LONGEST = 24, 8
 #: A text must have so many words and code points, and a reference so many words, before a distance may reject it.
 MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 50, 250, 2000
 #: Jensen-Shannon distances (0 to 1) beyond which a text is rejected.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.65
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.65
 #: Character classes of the histogram; the last class is the rest.
 CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", r"[\x09-\x0D\x20]+", "[.,;:!?'\"()-]+", r"[^\x00-\x7F]+")
 GAP = r"[\x20\x09-\x0D]+"
@@ -130,8 +130,7 @@ def quality(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns."""
-    bad = quality(docs).filter(~F.col("kept")).select("k1", "k2").distinct()
-    return whole_rows(docs, bad, "left_anti")
+    return whole_rows(docs, quality(docs).filter(~F.col("kept")), "left_anti")
 
 
 def op1_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
