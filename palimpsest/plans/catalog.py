@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from palimpsest.plans import conversations, messages, tokens
+
 FLAGSHIP = "q_normalize_dedup"
+QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = messages.QUERIES | conversations.QUERIES | tokens.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: f for name, (f, _) in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in QUERIES.items() if sql}
