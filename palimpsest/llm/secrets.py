@@ -225,8 +225,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         ),
         lambda a: F.concat(a.out, F.substring(F.col("text"), a.at + 1, F.length("text"))),
     )
-    whole = docs.select("doc_id", "text", F.struct("*").alias("_row"))
-    done = scan(whole, keep=("_row",)).withColumn("_new", F.when(F.size("spans") > 0, text).otherwise(F.col("_row.text")))
+    null = "_null"
+    while null in docs.columns:
+        null += "_"
+    rest = F.struct(F.col("text").isNull().alias(null), *(F.col(f"`{c}`") for c in docs.columns if c != "text"))  # a text is shuffled once
+    done = scan(docs.select("doc_id", "text", rest.alias("_row")), keep=("_row",))
+    done = done.withColumn("_new", F.when(F.size("spans") > 0, text).when(~F.col(f"_row.{null}"), F.col("text")))
     changed = {"text": F.col("_new")} | ({"n_chars": F.when(F.size("spans") > 0, F.length("_new")).otherwise(F.col("_row.n_chars")).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
     return done.select(*(changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
