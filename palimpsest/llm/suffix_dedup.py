@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm._spark import keyed, load, may_hold, membership, written
-from palimpsest.llm._vec import byte_values, chunks, gram_hash, merged, prefix_hash, span_hash, winnow
+from palimpsest.llm._vec import byte_values, chunks, gram_hash, merged, mix, prefix_hash, span_hash, winnow
 
 #: Bytes of a string, of an anchor, and of a symbol of the merged orders (a divisor of LENGTH).
 LENGTH, ANCHOR, SYMBOL = 100, 24, 4
 #: Segments that are merged at once at least, and bytes of them that a map task holds before it hands on.
 MERGE, HOLD_BYTES = 4096, 24 << 20
 NEXT = LENGTH - ANCHOR + 1
+#: An anchor with more places than HOT is split by what surrounds it; of such anchors there are HOT_MOST at most
+#: (HOT rises with the input for that). A piece holds strings that start within PIECE bytes of each other.
+HOT, HOT_MOST, PIECE = 5000, 1_000_000, 5
 
 
 class Anchored:
@@ -35,6 +38,24 @@ class Anchored:
         self.own = np.repeat(np.arange(len(texts)), n)
         self.anchor = chosen[self.at]
 
+    def runs(self, hit: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the strings `hit`: first and last string of each run that shares one anchor, its key, and whether it is a piece.
+
+        A run around a hot anchor is cut into pieces by distance from the anchor; a piece's key is a hash of the
+        bytes that all strings at these distances share, so equal strings always have equal keys.
+        """
+        at, anchor = self.at[hit], self.anchor[hit]
+        h = self.hash[anchor]
+        piece = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h if len(hot) else np.zeros(len(h), bool)
+        part = np.where(piece, (anchor - at) // PIECE, -1)
+        new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])])
+        a = np.flatnonzero(new)
+        b = np.append(a[1:], len(at)) - 1
+        key, cut = h[a].copy(), np.flatnonzero(piece[a])
+        core = anchor[a[cut]] - part[a[cut]] * PIECE
+        key[cut] = mix(key[cut] ^ span_hash(self.c, core, core + LENGTH - PIECE + 1))
+        return hit[a], hit[b], key, piece[a]
+
 
 def anchor_hashes(docs: DataFrame) -> DataFrame:
     """a: the hash of each anchor of each text, once for each place."""
@@ -48,20 +69,36 @@ def anchor_hashes(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "a long")
 
 
+def piece_keys(docs: DataFrame, hot: np.ndarray) -> DataFrame:
+    """a: the key of each piece around a hot anchor, once for each place."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in chunks(batch.column(0)):
+                t = Anchored(texts)
+                if len(t.at):
+                    _, _, key, piece = t.runs(np.arange(len(t.at)), shared.value)
+                    yield pa.RecordBatch.from_arrays([pa.array(key[piece].view(np.int64))], names=["a"])
+
+    return docs.select("text").mapInArrow(run, "a long")
+
+
 _NAMES = ["a", "doc_id", "k1", "k2", "start", "stop", "segment"]
 _SCHEMA = "a long, doc_id long, k1 long, k2 long, start int, stop int, segment binary"
 
 
-def segments(docs: DataFrame, anchors: bytes) -> DataFrame:
+def segments(docs: DataFrame, anchors: bytes, hot: np.ndarray, pieces: bytes | None) -> DataFrame:
     """Segments around the anchors that may repeat: all strings that hold one anchor at one place, as one run of bytes.
 
     Of equal segments in a task only the first in order goes on; the others' bytes are known to be repeats, and
     are given as rows without segment (start to stop).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(anchors)
+    shared = docs.sparkSession.sparkContext.broadcast((anchors, hot, pieces))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(shared.value, np.uint8)
+        held, hot, pieces = shared.value
+        held, pieces = np.frombuffer(held, np.uint8), None if pieces is None else np.frombuffer(pieces, np.uint8)
         parts: list[tuple] = []
         size = 0
 
@@ -105,12 +142,13 @@ def segments(docs: DataFrame, anchors: bytes) -> DataFrame:
                 hit = np.flatnonzero(may_hold(held, t.hash[t.anchor])) if len(t.at) else t.at
                 if not len(hit):
                     continue
-                at, anchor = t.at[hit], t.anchor[hit]
-                new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-                begin = np.flatnonzero(new)
-                lo, hi = at[begin], at[np.append(begin[1:], len(at)) - 1] + LENGTH
-                own = first + t.own[hit][begin]
-                parts.append((t.data, t.hash[anchor[begin]], span_hash(t.c, lo, hi), lo, hi, lo - t.first[own - first], null[own], doc[own], k1[own], k2[own]))
+                begin, end, key, piece = t.runs(hit, hot)
+                if pieces is not None:
+                    keep = ~piece | may_hold(pieces, key)
+                    begin, end, key = begin[keep], end[keep], key[keep]
+                lo, hi = t.at[begin], t.at[end] + LENGTH
+                own = first + t.own[begin]
+                parts.append((t.data, key, span_hash(t.c, lo, hi), lo, hi, lo - t.first[own - first], null[own], doc[own], k1[own], k2[own]))
                 size += len(t.data)
                 if size >= HOLD_BYTES:
                     yield from hand_on()
@@ -211,14 +249,18 @@ def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     doc_id, or before in the same text.  Each string holds an anchor (its least ANCHOR-byte hash), so equal
     strings have equal anchors.  Anchors that occur once rule out their strings; the segments around the others
     meet by anchor, and their suffix orders are merged (see merge_orders), which gives the repeated strings.
+    Anchors with very many places are split into pieces by what surrounds them first, and pieces that occur once go.
 
     A null text has no bytes; a null doc_id comes after all others; rows with the same doc_id and text are
     one document; of different texts with one doc_id the one with the smaller hash is the earlier.  doc_id is an
     integer.  Other columns are ignored; an empty table gives an empty result.
     """
     given = keyed(docs)
-    anchors = membership(anchor_hashes(given).groupBy("a").count().filter("count > 1"), "a")
-    every = written(segments(given, anchors))
+    twice = written(anchor_hashes(given).groupBy("a").count().filter("count > 1"))
+    most = max(HOT, (twice.agg(F.sum("count")).first()[0] or 0) // HOT_MOST)
+    hot = np.sort(np.array([r[0] for r in twice.filter(F.col("count") > most).select("a").collect()], np.int64).view(np.uint64))
+    pieces = membership(piece_keys(given, hot).groupBy("a").count().filter("count > 1"), "a") if len(hot) else None
+    every = written(segments(given, membership(twice, "a"), hot, pieces))
     by_anchor = every.filter("segment is not null").repartition("a").sortWithinPartitions("a").select("a", "doc_id", "k1", "k2", "start", "segment")
     gone = repeats(by_anchor).unionByName(every.filter("segment is null").select("k1", "k2", "start", "stop"))
     spans = gone.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))

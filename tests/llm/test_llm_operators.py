@@ -113,8 +113,8 @@ def test_suffix_dedup_equals_brute_force(spark, tables):
     assert got == want
 
 
-@pytest.mark.parametrize("merge, hold", [(2, 1), (50, 1 << 20)])
-def test_suffix_dedup_in_small_steps(spark, tables, monkeypatch, merge, hold):
+@pytest.mark.parametrize("merge, hold, hot", [(2, 1, 5000), (50, 1 << 20, 5000), (50, 1 << 20, 1)])
+def test_suffix_dedup_in_small_steps(spark, tables, monkeypatch, merge, hold, hot):
     whole = suffix_dedup.op10_bwt_merge_dedup(spark, tables)
     want = sorted(whole.collect(), key=lambda r: r.doc_id)
     docs = spark.read.parquet(f"{tables}/documents.parquet")
@@ -122,7 +122,9 @@ def test_suffix_dedup_in_small_steps(spark, tables, monkeypatch, merge, hold):
     every = bytes(b"\xff" * (suffix_dedup.membership.__globals__["FILTER_BITS"] // 8))
     monkeypatch.setattr(suffix_dedup, "MERGE", merge)
     monkeypatch.setattr(suffix_dedup, "HOLD_BYTES", hold)
-    monkeypatch.setattr(suffix_dedup, "membership", lambda *a: every)  # a filter that rules out nothing changes nothing
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    if hot > 1:  # a filter that rules out nothing changes nothing
+        monkeypatch.setattr(suffix_dedup, "membership", lambda *a: every)
     got = sorted(suffix_dedup.remove_repeated_bytes(docs).drop("kept").collect(), key=lambda r: r.doc_id)
     assert got == want and given.columns[0] == "doc_id"
 
