@@ -13,8 +13,9 @@ from palimpsest.llm._spark import keyed, load, whole_rows, written
 from palimpsest.llm._vec import WHITE, Words, chunks, mix
 
 SHINGLE = 5
-#: Minwise tokens of a set, independent trees, documents of a node that are compared exhaustively, and levels.
-TOKENS, TREES, NODE, LEVELS = 48, 16, 512, 16
+#: Minwise tokens of a set, independent trees, documents of a node that are compared exhaustively, and levels:
+#: those taken before nodes are looked at, so that sets with little in common part, and those at most.
+TOKENS, TREES, NODE, FIRST, LEVELS = 48, 16, 512, 3, 16
 #: 100 * intersection >= PERCENT * union links two sets.
 PERCENT = 85
 _FACTORS = np.random.default_rng(41).integers(1, 1 << 63, TOKENS, dtype=np.uint64) | np.uint64(1)
@@ -72,21 +73,23 @@ def chosen_paths(sets: DataFrame, trees: int = TREES, node: int = NODE, levels:
     """members: sorted arrays of v that are to be compared with each other, each array once.
 
     In each tree a node picks one of the minwise tokens by its path; documents with equal values there go to
-    the same child.  A child with 2 to `node` documents is done; larger ones branch again, up to `levels`
-    times.  What is larger still shares `levels` tokens and is compared in pairs of blocks of half a node.
+    the same child.  From level FIRST on a child with 2 to `node` documents is done; larger ones branch again,
+    up to `levels` times.  What is larger still shares `levels` tokens and is compared in pairs of blocks of half a node.
     """
     start = F.xxhash64(F.lit("tree"), "r")
     step = lambda p: F.xxhash64(p, F.get("tokens", F.pmod(p, F.lit(TOKENS)).cast("int")))
-    live = sets.select("v", "tokens", F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("r")).select("v", "tokens", step(start).alias("path"))
+    live = sets.select("v", "tokens", F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("r")).withColumn("path", start)
+    for _ in range(FIRST):
+        live = live.withColumn("path", step(F.col("path")))
     done: list[DataFrame] = []
-    for level in range(levels):
+    for level in range(FIRST, levels + 1):
         sizes = written(live.groupBy("path").count().filter("count > 1"))
         done.append(live.select("v", "path").join(sizes.filter(F.col("count") <= node).select("path"), "path").withColumn("part", F.lit(0)))
         large = sizes.filter(F.col("count") > node)
         if large.isEmpty():
             break
         rows = live.join(large, "path")
-        if level == levels - 1:
+        if level == levels:
             n = (F.floor(F.col("count") / (node // 2)) + 1).cast("int")
             own = F.pmod(F.xxhash64("v"), n).cast("int")
             other = rows.select("v", "path", n.alias("n"), own.alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
@@ -187,9 +190,9 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     A document's set holds the distinct runs of 5 words (lower-cased ASCII).  Rows with equal sets are one
     class first, named by its least doc_id, so a group of copies, however large, is one document from then
     on.  The classes go down `trees` independent trees (see chosen_paths); documents that meet in a small
-    node are compared on whole sets, and links unite to components.  A pair of similarity s that parts only
-    in nodes d levels deep is missed with probability (1 - s**d) ** trees: under 1e-12 at one level and 1e-4
-    at five, and a document of a large group has many links.
+    node are compared on whole sets, and links unite to components.  A pair of similarity s whose nodes are d
+    levels deep is missed with probability (1 - s**d) ** trees, at 0.85 under 1e-6 for FIRST = 3 levels and
+    1e-4 for five, which only groups of thousands of texts reach.
 
     Null or empty texts have empty sets and no links.  A null doc_id has no component and is kept.  Rows that
     share a doc_id are one document of the graph; other columns are ignored; an empty table gives none.
