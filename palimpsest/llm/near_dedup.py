@@ -134,7 +134,7 @@ def links_in(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     return root
 
 
-def compare(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def compare(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """hi, lo: links that connect what is linked in each node, fewer than the node has documents."""
     rows = nodes.select(F.xxhash64("members").alias("node"), F.size("members").alias("size"), F.explode("members").alias("v")).join(sets, "v")
     rows = rows.select("node", "size", "v", "items").repartition("node", "size").sortWithinPartitions("node", "size", "v")
@@ -145,7 +145,7 @@ def compare(nodes: DataFrame, sets: DataFrame) -> DataFrame:
         def links() -> pa.RecordBatch:
             first = [i for i, v in enumerate(names) if i == 0 or names[i - 1] != v]
             own = [names[i] for i in first]
-            root = links_in([np.frombuffer(items[i], np.uint64) for i in first]) if len(own) > 1 else np.zeros(1, int)
+            root = links_in([np.frombuffer(items[i], np.uint64) for i in first], percent) if len(own) > 1 else np.zeros(1, int)
             pairs = [(own[i], own[r]) for i, r in enumerate(root.tolist()) if i != r]
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], v_type), pa.array([p[1] for p in pairs], v_type)], names=["hi", "lo"])
 
@@ -184,7 +184,7 @@ def connected(edges: DataFrame) -> DataFrame:
         edges = after
 
 
-def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
+def near_duplicates(docs: DataFrame, trees: int = TREES, percent: int = PERCENT) -> DataFrame:
     """For each row: doc_id, k1, k2, n_shingles, component_id (the least doc_id reachable by links), kept.
 
     A document's set holds the distinct runs of 5 words (lower-cased ASCII).  Rows with equal sets are one
@@ -213,19 +213,19 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
 
     texts = given.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("v", "text")
     sets = written(texts.mapInArrow(items, f"v {dict(docs.dtypes)['doc_id']}, items binary"))
-    component = written(connected(compare(nodes, sets)))
+    component = written(connected(compare(nodes, sets, percent)))
     own = written(classes.join(component, "v", "left").select("s1", "s2", F.coalesce("component", "v").alias("component")))
     out = facts.join(own, ["s1", "s2"], "left")
     cid = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "k1", "k2", "n_shingles", cid.alias("component_id"), F.coalesce(F.col("doc_id") == cid, F.col("doc_id").isNull()).alias("kept"))
 
 
-def keep_one(docs: DataFrame, trees: int = TREES) -> DataFrame:
+def keep_one(docs: DataFrame, trees: int = TREES, percent: int = 80) -> DataFrame:
     """One row of docs, with all its columns, of each group of near duplicates: that with the least doc_id.
 
     Of rows that agree in doc_id and text one stays.
     """
-    groups = written(near_duplicates(docs, trees).select("k1", "k2", "kept"))
+    groups = written(near_duplicates(docs, trees, percent).select("k1", "k2", "kept"))
     rest = whole_rows(docs, groups.filter("not kept"), "left_anti")
     repeated = written(groups.filter("kept").groupBy("k1", "k2").count().filter("count > 1"))
     if repeated.isEmpty():

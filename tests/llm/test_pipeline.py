@@ -22,7 +22,7 @@ def test_stages_take_effect(spark):
     from palimpsest.llm import decontaminate, near_dedup, quality, secrets
 
     assert secrets.scan(docs).filter("size(spans) > 0").count() == 0
-    assert near_dedup.near_duplicates(docs).filter("not kept").count() == 0
+    assert near_dedup.near_duplicates(docs, percent=80).filter("not kept").count() == 0
     assert decontaminate.decontaminate(docs, spark.read.parquet(f"{DATA}/benchmark.parquet")).filter("contaminated").count() == 0
     assert quality.base_counts and docs.count() == len(ids)
     packed = p.STAGES[-1][1](spark, docs, DATA)
