@@ -92,7 +92,7 @@ def segments(docs: DataFrame, anchors: bytes, hot: np.ndarray, pieces: bytes | N
     """Segments around the anchors that may repeat: all strings that hold one anchor at one place, as one run of bytes.
 
     Of equal segments in a task only the first in order goes on; the others' bytes are known to be repeats, and
-    are given as rows without segment (start to stop).
+    are given as rows without segment (start to stop), whose key only spreads them.
     """
     shared = docs.sparkSession.sparkContext.broadcast((anchors, hot, pieces))
 
@@ -132,7 +132,7 @@ def segments(docs: DataFrame, anchors: bytes, hot: np.ndarray, pieces: bytes | N
                     begin.append(b)
                     end.append(e)
                 i = np.concatenate(who)
-                yield put(i, np.zeros(len(i), np.int64), np.concatenate(begin), np.concatenate(end), [None] * len(i))
+                yield put(i, k2[i], np.concatenate(begin), np.concatenate(end), [None] * len(i))
 
         for batch in batches:
             null = np.asarray(batch.column(0).is_null())
@@ -192,7 +192,10 @@ def merge_orders(data: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def repeats(rows: DataFrame) -> DataFrame:
-    """k1, k2, start, stop of the bytes of each segment whose strings also start earlier; rows come by anchor."""
+    """k1, k2, start, stop of the bytes of each segment whose strings also start earlier, and of what is known to repeat.
+
+    Rows come by anchor.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -225,6 +228,10 @@ def repeats(rows: DataFrame) -> DataFrame:
 
         n = 0
         for batch in batches:
+            known = batch.column("segment").is_null()
+            if known.true_count:
+                yield batch.filter(known).select(["k1", "k2", "start", "stop"])
+                batch = batch.filter(pa.compute.invert(known))
             held.append(batch)
             n += len(batch)
             if n < MERGE:
@@ -236,7 +243,7 @@ def repeats(rows: DataFrame) -> DataFrame:
                 yield merge(rows.slice(0, cut))
             rest = rows.slice(cut).combine_chunks()
             held, n = rest.to_batches(), len(rest)
-        if held:
+        if n:
             yield merge(pa.Table.from_batches(held))
 
     return rows.mapInArrow(run, "k1 long, k2 long, start int, stop int")
@@ -260,9 +267,7 @@ def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     most = max(HOT, (twice.agg(F.sum("count")).first()[0] or 0) // HOT_MOST)
     hot = np.sort(np.array([r[0] for r in twice.filter(F.col("count") > most).select("a").collect()], np.int64).view(np.uint64))
     pieces = membership(piece_keys(given, hot).groupBy("a").count().filter("count > 1"), "a") if len(hot) else None
-    every = written(segments(given, membership(twice, "a"), hot, pieces))
-    by_anchor = every.filter("segment is not null").repartition("a").sortWithinPartitions("a").select("a", "doc_id", "k1", "k2", "start", "segment")
-    gone = repeats(by_anchor).unionByName(every.filter("segment is null").select("k1", "k2", "start", "stop"))
+    gone = repeats(segments(given, membership(twice, "a"), hot, pieces).repartition("a").sortWithinPartitions("a"))
     spans = gone.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
     rows = given.join(spans, ["k1", "k2"], "left")
 
