@@ -13,9 +13,9 @@ from palimpsest.llm._spark import keyed, load, whole_rows, written
 from palimpsest.llm._vec import WHITE, Words, chunks, mix
 
 SHINGLE = 5
-#: Minwise tokens of a set, independent trees, documents of a node that are compared exhaustively, and levels:
-#: those taken before nodes are looked at, so that sets with little in common part, and those at most.
-TOKENS, TREES, NODE, FIRST, LEVELS = 48, 16, 512, 3, 16
+#: Independent trees, documents of a node that are compared exhaustively, and levels: those taken before nodes are
+#: looked at, so that sets with little in common part, and those at most.  Minwise tokens for levels after the first ones.
+TREES, NODE, FIRST, LEVELS, TOKENS = 16, 512, 3, 16, 16
 #: 100 * intersection >= PERCENT * union links two sets.
 PERCENT = 85
 _FACTORS = np.random.default_rng(41).integers(1, 1 << 63, TOKENS, dtype=np.uint64) | np.uint64(1)
@@ -46,8 +46,25 @@ def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.n
     return h, np.searchsorted(o, np.arange(len(texts) + 1))
 
 
+def tree_paths(h: np.ndarray, cut: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """For each set of `full` its path in every tree after FIRST levels.
+
+    A node's path gives the factor of a minwise function that no other node of any tree has; its value is the
+    step to the child.
+    """
+    n, at = np.diff(cut)[full], cut[full]
+    out = np.empty((len(full), TREES), np.uint64)
+    for r in range(TREES):
+        path = mix(np.full(len(full), r + 1, np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        for _ in range(FIRST):
+            least = np.minimum.reduceat(h * np.repeat(mix(path) | np.uint64(1), n) >> np.uint64(32), at)
+            path = mix(path ^ (least * np.uint64(0x9E3779B97F4A7C15)))
+        out[:, r] = path
+    return out
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, k1, k2, n_shingles, the 128-bit hash s1, s2 of the set, and its minwise tokens."""
+    """doc_id, k1, k2, n_shingles, the 128-bit hash s1, s2 of the set, its path in each tree, and minwise tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,32 +73,33 @@ def signatures(docs: DataFrame) -> DataFrame:
                 n = np.diff(cut)
                 full = np.flatnonzero(n)
                 sums = np.zeros((2, len(texts)), np.uint64)
+                paths = np.zeros((len(texts), TREES), np.uint64)
                 tokens = np.zeros((len(texts), TOKENS), np.uint32)
                 if len(full):
                     for j, salt in enumerate((0x51, 0xA7)):
                         sums[j, full] = np.add.reduceat(mix(h ^ np.uint64(salt * 0x0101010101010101)), cut[full])
+                    paths[full] = tree_paths(h, cut, full)
                     for t in range(TOKENS):
                         tokens[full, t] = np.minimum.reduceat(((h * _FACTORS[t]) >> np.uint64(32)).astype(np.uint32), cut[full])
-                flat = pa.FixedSizeListArray.from_arrays(pa.array(tokens.view(np.int32).ravel()), TOKENS).cast(pa.list_(pa.int32()))
+                lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(x_type)) for x, x_type in ((paths.view(np.int64), pa.int64()), (tokens.view(np.int32), pa.int32()))]
                 keys = [batch.column(i).slice(first, len(texts)) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), flat], names=["doc_id", "k1", "k2", "n_shingles", "s1", "s2", "tokens"])
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), *lists], names=["doc_id", "k1", "k2", "n_shingles", "s1", "s2", "paths", "tokens"])
 
-    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, k1 long, k2 long, n_shingles long, s1 long, s2 long, tokens array<int>")
+    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, k1 long, k2 long, n_shingles long, s1 long, s2 long, paths array<long>, tokens array<int>")
 
 
-def chosen_paths(sets: DataFrame, trees: int = TREES, node: int = NODE, levels: int = LEVELS) -> DataFrame:
-    """members: sorted arrays of v that are to be compared with each other, each array once.
+def chosen_paths(sets: DataFrame, trees: int = TREES, node: int = NODE, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """members: sorted arrays of v that are to be compared with each other, each array once; and v: the crowd.
 
-    In each tree a node picks one of the minwise tokens by its path; documents with equal values there go to
-    the same child.  From level FIRST on a child with 2 to `node` documents is done; larger ones branch again,
-    up to `levels` times.  What is larger still shares `levels` tokens and is compared in pairs of blocks of half a node.
+    In each tree a node picks a minwise function by its path; documents with equal values there go to the same
+    child.  At level FIRST a node with 2 to `node` documents is done.  The documents of larger nodes are the
+    crowd, in which `crowded` finds every link.  So that it has little to do, they branch on (by their TOKENS
+    minwise values, up to `levels` levels) or else are dealt out, into parts that are compared here.
     """
-    start = F.xxhash64(F.lit("tree"), "r")
     step = lambda p: F.xxhash64(p, F.get("tokens", F.pmod(p, F.lit(TOKENS)).cast("int")))
-    live = sets.select("v", "tokens", F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("r")).withColumn("path", start)
-    for _ in range(FIRST):
-        live = live.withColumn("path", step(F.col("path")))
+    live = sets.select("v", "tokens", F.explode(F.slice("paths", 1, trees)).alias("path"))
     done: list[DataFrame] = []
+    crowd = sets.select("v").limit(0)
     for level in range(FIRST, levels + 1):
         sizes = written(live.groupBy("path").count().filter("count > 1"))
         done.append(live.select("v", "path").join(sizes.filter(F.col("count") <= node).select("path"), "path").withColumn("part", F.lit(0)))
@@ -89,18 +107,71 @@ def chosen_paths(sets: DataFrame, trees: int = TREES, node: int = NODE, levels:
         if large.isEmpty():
             break
         rows = live.join(large, "path")
+        if level == FIRST:
+            crowd = written(rows.select("v").distinct())
         if level == levels:
             n = (F.floor(F.col("count") / (node // 2)) + 1).cast("int")
-            own = F.pmod(F.xxhash64("v"), n).cast("int")
-            other = rows.select("v", "path", n.alias("n"), own.alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
-            done.append(other.select("v", "path", (F.least("own", "other") * F.col("n") + F.greatest("own", "other") + 1).alias("part")))
+            done.append(rows.select("v", "path", F.pmod(F.xxhash64("v", "path"), n).cast("int").alias("part")))
             break
         live = written(rows.select("v", "tokens", step(F.col("path")).alias("path")))
     every = done[0]
     for d in done[1:]:
         every = every.unionByName(d)
     lists = every.groupBy("path", "part").agg(F.sort_array(F.collect_set("v")).alias("members"))
-    return lists.filter(F.size("members") > 1).select("members").distinct()
+    return lists.filter(F.size("members") > 1).select("members").distinct(), crowd
+
+
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """v, g: the shingles of which two linked sets have one in common, those that only one set has left out.
+
+    Sets A and B are linked only if they share ceil(percent% of |A|) shingles, so A's |A| - that + 1 rarest ones
+    (ties by hash) hold one that is among B's too.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                own = batch.slice(at, 256)
+                items = [np.frombuffer(x, np.int64) for x in own.column(1).to_pylist()]
+                n = np.fromiter(map(len, items), np.int64, len(items))
+                yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(np.repeat(n, n)), pa.array(np.concatenate(items))], names=["v", "n", "g"])
+
+    grams = written(sets.select("v", "items").mapInArrow(run, f"v {dict(sets.dtypes)['v']}, n long, g long"))
+    df = grams.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
+    own = grams.join(df, "g").groupBy("v", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("shared"))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("shared"))
+    return own.filter(first > 0).select("v", F.explode(F.slice("shared", 1, first.cast("int"))).alias("x")).select("v", "x.g")
+
+
+def crowded(sets: DataFrame, component: DataFrame, percent: int, node: int = NODE) -> DataFrame:
+    """members: arrays of v that hold together every linked pair of the sets whose ends have different components.
+
+    Sets that share a rare shingle are compared, unless all are of one component.  Shingles with more than
+    `node` sets make families of these sets, compared in pairs of blocks; a component of half a node or
+    more has blocks of its own, which are not compared with each other.
+    """
+    own = written(rare_shingles(sets, percent).join(component, "v", "left").select("v", "g", F.coalesce("component", "v").alias("c")))
+    groups = written(own.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("a"), F.max("c").alias("b"), F.min("v").alias("v0")).filter("a <> b"))
+    few = own.join(groups.filter(F.col("n") <= node).select("g"), "g").groupBy("g").agg(F.sort_array(F.collect_set("v")).alias("members"))
+    hot = groups.filter(F.col("n") > node)
+    if hot.isEmpty():
+        return written(few.select("members").distinct())
+    many = written(own.join(hot.select("g", "v0"), "g").select("v", "c", "v0").distinct())
+    family = written(connected(many.filter("v > v0").select(F.col("v").alias("hi"), F.col("v0").alias("lo")).distinct()))
+    many = many.select("v", "c").distinct().join(family.withColumnRenamed("component", "f"), "v")
+    count = many.groupBy("f", "c").count().withColumn("big", F.col("count") >= node // 2)
+    placed = many.join(count, ["f", "c"]).select("v", "f", F.when(F.col("big"), F.col("c")).alias("c"))
+    placed = written(placed.withColumn("h", F.xxhash64("c", F.isnull("c"))))
+    width = placed.groupBy("f", "h").agg((F.floor(F.count("*") / (node // 2)) + 1).alias("w"))
+    placed = written(placed.join(width, ["f", "h"]).select("v", "f", F.col("c").isNotNull().alias("big"), "h", F.pmod(F.xxhash64("v"), "w").alias("part")))
+    blocks = written(placed.select("f", "big", "h", "part").distinct())
+    a, b = blocks.alias("a"), blocks.alias("b")
+    ahead = F.struct("a.h", "a.part") <= F.struct("b.h", "b.part")
+    pairs = a.join(b, (F.col("a.f") == F.col("b.f")) & ahead & ~(F.col("a.big") & (F.col("a.h") == F.col("b.h"))))
+    ends = F.explode(F.array_distinct(F.array(F.struct("a.h", "a.part"), F.struct("b.h", "b.part")))).alias("e")
+    pairs = pairs.select(F.col("a.f").alias("f"), F.xxhash64("a.h", "a.part", "b.h", "b.part").alias("pair"), ends).select("f", "pair", F.col("e.h").alias("h"), F.col("e.part").alias("part"))
+    lists = placed.join(pairs, ["f", "h", "part"]).groupBy("f", "pair").agg(F.sort_array(F.collect_set("v")).alias("members"))
+    return written(few.select("members").unionByName(lists.select("members")).filter(F.size("members") > 1).distinct())
 
 
 def links_in(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
@@ -189,10 +260,10 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, percent: int = PERCENT)
 
     A document's set holds the distinct runs of 5 words (lower-cased ASCII).  Rows with equal sets are one
     class first, named by its least doc_id, so a group of copies, however large, is one document from then
-    on.  The classes go down `trees` independent trees (see chosen_paths); documents that meet in a small
-    node are compared on whole sets, and links unite to components.  A pair of similarity s whose nodes are d
-    levels deep is missed with probability (1 - s**d) ** trees, at 0.85 under 1e-6 for FIRST = 3 levels and
-    1e-4 for five, which only groups of thousands of texts reach.
+    on.  The classes go down FIRST levels of `trees` independent trees (at most TREES; see chosen_paths);
+    documents that meet in a small node are compared on whole sets.  Among documents of larger nodes every link
+    that joins components is found (see crowded).  Links unite to components.  A pair of similarity s that
+    is not in the crowd is missed with probability (1 - s**3) ** trees: 2.4e-7 at 0.85, 1e-5 at 0.8.
 
     Null or empty texts have empty sets and no links.  A null doc_id has no component and is kept.  Rows that
     share a doc_id are one document of the graph; other columns are ignored; an empty table gives none.
@@ -201,9 +272,10 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, percent: int = PERCENT)
     facts = written(signatures(given))
     classes = written(facts.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("v")))
     reps = facts.join(classes, ["s1", "s2"]).filter(F.col("doc_id") == F.col("v"))
-    reps = written(reps.select("v", "k1", "k2", "tokens").dropDuplicates(["v", "k1", "k2"]))
-    nodes = written(chosen_paths(reps.select("v", "tokens"), trees))
-    wanted = written(nodes.select(F.explode("members").alias("v")).distinct().join(reps.select("v", "k1", "k2"), "v"))
+    reps = written(reps.select("v", "k1", "k2", "paths", "tokens").dropDuplicates(["v", "k1", "k2"]))
+    nodes, crowd = chosen_paths(reps.select("v", "paths", "tokens"), trees)
+    nodes = written(nodes)
+    wanted = written(nodes.select(F.explode("members").alias("v")).unionByName(crowd).distinct().join(reps.select("v", "k1", "k2"), "v"))
 
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +285,11 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, percent: int = PERCENT)
 
     texts = given.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("v", "text")
     sets = written(texts.mapInArrow(items, f"v {dict(docs.dtypes)['doc_id']}, items binary"))
-    component = written(connected(compare(nodes, sets, percent)))
+    links = written(compare(nodes, sets, percent))
+    component = written(connected(links))
+    if not crowd.isEmpty():
+        more = compare(crowded(sets.join(crowd, "v", "left_semi"), component, percent), sets, percent)
+        component = written(connected(links.unionByName(more).distinct()))
     own = written(classes.join(component, "v", "left").select("s1", "s2", F.coalesce("component", "v").alias("component")))
     out = facts.join(own, ["s1", "s2"], "left")
     cid = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))

@@ -166,6 +166,26 @@ def test_near_duplicates_in_deep_nodes(spark, monkeypatch):
         assert got == {i: find(i) for i in range(len(sets))}
 
 
+@pytest.mark.parametrize("percent, changed, alike", [(85, 2, 0.865), (80, 3, 0.816)])
+def test_links_among_thousands_of_boilerplate_texts(spark, percent, changed, alike):
+    """All texts share 120 of 142 words; each is linked to one partner only, so that nothing makes up for a lost link."""
+    rng = random.Random(11)
+    shared, texts = [f"b{i}" for i in range(120)], []
+    for i in range(1000):
+        own = [f"u{i}x{j}" for j in range(22)]
+        near = list(own)
+        for k in range(changed):
+            near[int((k + 0.5) * 22 / changed)] = f"p{i}x{k}"
+        texts += [shared + own, shared + near]
+    a, b, c = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts[:3])
+    assert round(len(a & b) / len(a | b), 3) == alike and len(a & c) / len(a | c) < 0.75
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    docs = spark.createDataFrame([(i, " ".join(texts[i])) for i in order], "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, percent=percent).collect()}
+    assert {i: c for i, c in got.items() if c != i - i % 2} == {}
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(101, 100)], "hi long, lo long")
     assert {r.v: r.component for r in near_dedup.connected(edges).collect()} == {**{i: 0 for i in range(1, 61)}, 101: 100}
