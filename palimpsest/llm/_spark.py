@@ -5,21 +5,26 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of a membership filter. Its size never depends on the data; an exact join always follows it.
-FILTER_BITS = 1 << 25
+#: Bits of a membership filter: FILTER_RATIO for each value up to FILTER_MOST (32 MiB), then fewer.  What passes it is
+#: always joined or counted exactly, so a fuller filter only lets more rows pass to that.
+FILTER_RATIO, FILTER_LEAST, FILTER_MOST = 16, 1 << 20, 1 << 28
 _BUCKET_BITS = 1 << 15
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session may lack it."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Only a session whose executors are its driver may lack it; it gets a folder in its warehouse.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        d = "/tmp/checkpoints"
+        d = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     return d.rstrip("/")
 
 
@@ -43,23 +48,28 @@ def keyed(docs: DataFrame, *cols: str) -> DataFrame:
 
 
 def membership(hashes: DataFrame, col: str) -> bytes:
-    """A bitmap of FILTER_BITS bits with a bit for each value of the column (by its low bits).
+    """A bitmap with a bit for each value of the column (by its low bits), sized by their number.
 
-    It is aggregated on the executors; the driver gets FILTER_BITS / 8 bytes at most, whatever the input.
+    It is aggregated on the executors; the driver gets FILTER_MOST / 8 bytes at most, whatever the input.
     """
-    low = hashes.select((F.col(col).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1).alias("b"))  # Spark counts from 1
+    hashes = written(hashes.select(col))
+    bits = FILTER_LEAST
+    n = hashes.count()
+    while bits < FILTER_MOST and bits < FILTER_RATIO * n:
+        bits *= 2
+    low = hashes.select((F.col(col).bitwiseAND(F.lit(bits - 1)) + 1).alias("b"))  # Spark counts from 1
     blocks = low.groupBy(F.expr("bitmap_bucket_number(b)").alias("n")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(b))").alias("bits"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for n, bits in blocks.toLocalIterator():
-        own = np.frombuffer(bytes(bits), np.uint8)
-        at = (n - 1) * _BUCKET_BITS // 8
+    out = np.zeros(bits // 8, np.uint8)
+    for k, own in blocks.toLocalIterator():
+        own = np.frombuffer(bytes(own), np.uint8)
+        at = (k - 1) * _BUCKET_BITS // 8
         out[at : at + len(own)] |= own
     return out.tobytes()
 
 
 def may_hold(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes (uint64) the bitmap may hold; for place and bit it follows Spark's bitmap functions."""
-    low = hashes & np.uint64(FILTER_BITS - 1)
+    low = hashes & np.uint64(8 * len(bitmap) - 1)
     return (bitmap[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
@@ -67,14 +77,18 @@ def sha(col: Column) -> Column:
     return F.sha2(col.cast("binary"), 256)
 
 
-#: Rows of keys (16 bytes each) that a join sends to every executor at most; more of them are shuffled.
-SEND_ROWS = 500_000
-
-
 def whole_rows(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """docs joined (semi or anti) with k1, k2 of keys; all columns of docs, whatever their names."""
+    """docs joined (semi or anti) with k1, k2 of keys; all columns of docs, whatever their names.
+
+    A bitmap of the keys rules out the rows that have no match where they are read; only the others are shuffled and joined.
+    """
     own = written(keys.select(F.col("k1").alias("_a"), F.col("k2").alias("_b")).distinct())
-    if own.count() <= SEND_ROWS:
-        own = F.broadcast(own)
-    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("doc_id").alias("_k1"), F.xxhash64("text", "doc_id").alias("_k2"))
-    return rows.join(own, (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b")), how).select("_row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(membership(own, "_b"))
+
+    @F.pandas_udf("boolean")
+    def maybe(k: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(np.frombuffer(shared.value, np.uint8), k.to_numpy().view(np.uint64)))
+
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("doc_id").alias("_k1"), F.xxhash64("text", "doc_id").alias("_k2")).withColumn("_maybe", maybe("_k2"))
+    near = rows.filter("_maybe").join(own, (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b")), how).select("_row.*")
+    return near if how == "left_semi" else near.unionByName(rows.filter("not _maybe").select("_row.*"))

@@ -6,19 +6,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm._spark import keyed, load, whole_rows, written
+from palimpsest.llm._spark import keyed, load, may_hold, membership, whole_rows, written
 from palimpsest.llm._vec import WHITE, Words, chunks, mix
 
 SHINGLE = 5
-#: Independent trees, documents of a node that are compared exhaustively, and levels: those taken before nodes are
-#: looked at, so that sets with little in common part, and those at most.  Minwise tokens for levels after the first ones.
-TREES, NODE, FIRST, LEVELS, TOKENS = 16, 512, 3, 16, 16
+#: Independent trees, the level at which their nodes are looked at, and documents of a node that are compared exhaustively.
+TREES, LEVEL, NODE = 16, 3, 512
+#: Trees and level for documents of larger nodes (the crowd).
+CROWD_TREES, CROWD_LEVEL = 64, 8
+#: Nodes that share documents are one list, so that a set travels once, if it has so few documents and shingles.
+LIST_DOCS, LIST_SHINGLES = 2048, 2_000_000
 #: 100 * intersection >= PERCENT * union links two sets.
 PERCENT = 85
-_FACTORS = np.random.default_rng(41).integers(1, 1 << 63, TOKENS, dtype=np.uint64) | np.uint64(1)
 
 
 def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -46,25 +48,29 @@ def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.n
     return h, np.searchsorted(o, np.arange(len(texts) + 1))
 
 
-def tree_paths(h: np.ndarray, cut: np.ndarray, full: np.ndarray) -> np.ndarray:
-    """For each set of `full` its path in every tree after FIRST levels.
+def tree_paths(h: np.ndarray, cut: np.ndarray, full: np.ndarray, trees: range, level: int) -> np.ndarray:
+    """For each set of `full` its path in each of the trees (by number) after so many levels.
 
     A node's path gives the factor of a minwise function that no other node of any tree has; its value is the
     step to the child.
     """
     n, at = np.diff(cut)[full], cut[full]
-    out = np.empty((len(full), TREES), np.uint64)
-    for r in range(TREES):
+    out = np.empty((len(full), len(trees)), np.uint64)
+    for k, r in enumerate(trees):
         path = mix(np.full(len(full), r + 1, np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        for _ in range(FIRST):
+        for _ in range(level):
             least = np.minimum.reduceat(h * np.repeat(mix(path) | np.uint64(1), n) >> np.uint64(32), at)
             path = mix(path ^ (least * np.uint64(0x9E3779B97F4A7C15)))
-        out[:, r] = path
+        out[:, k] = path
     return out
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, k1, k2, n_shingles, the 128-bit hash s1, s2 of the set, its path in each tree, and minwise tokens."""
+def _lists(paths: np.ndarray) -> pa.Array:
+    return pa.FixedSizeListArray.from_arrays(pa.array(paths.view(np.int64).ravel()), paths.shape[1]).cast(pa.list_(pa.int64()))
+
+
+def signatures(docs: DataFrame, trees: int = TREES) -> DataFrame:
+    """v, k1, k2, n_shingles, the 128-bit hash s1, s2 of the set, and its path in each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,92 +79,68 @@ def signatures(docs: DataFrame) -> DataFrame:
                 n = np.diff(cut)
                 full = np.flatnonzero(n)
                 sums = np.zeros((2, len(texts)), np.uint64)
-                paths = np.zeros((len(texts), TREES), np.uint64)
-                tokens = np.zeros((len(texts), TOKENS), np.uint32)
+                paths = np.zeros((len(texts), trees), np.uint64)
                 if len(full):
                     for j, salt in enumerate((0x51, 0xA7)):
                         sums[j, full] = np.add.reduceat(mix(h ^ np.uint64(salt * 0x0101010101010101)), cut[full])
-                    paths[full] = tree_paths(h, cut, full)
-                    for t in range(TOKENS):
-                        tokens[full, t] = np.minimum.reduceat(((h * _FACTORS[t]) >> np.uint64(32)).astype(np.uint32), cut[full])
-                lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(x_type)) for x, x_type in ((paths.view(np.int64), pa.int64()), (tokens.view(np.int32), pa.int32()))]
+                    paths[full] = tree_paths(h, cut, full, range(trees), LEVEL)
                 keys = [batch.column(i).slice(first, len(texts)) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), *lists], names=["doc_id", "k1", "k2", "n_shingles", "s1", "s2", "paths", "tokens"])
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), _lists(paths)], names=["v", "k1", "k2", "n_shingles", "s1", "s2", "paths"])
 
-    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, k1 long, k2 long, n_shingles long, s1 long, s2 long, paths array<long>, tokens array<int>")
+    return docs.select("v", "k1", "k2", "text").mapInArrow(run, f"v {dict(docs.dtypes)['v']}, k1 long, k2 long, n_shingles long, s1 long, s2 long, paths array<long>")
 
 
-def chosen_paths(sets: DataFrame, trees: int = TREES, node: int = NODE, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
-    """members: sorted arrays of v that are to be compared with each other, each array once; and v: the crowd.
-
-    In each tree a node picks a minwise function by its path; documents with equal values there go to the same
-    child.  At level FIRST a node with 2 to `node` documents is done.  The documents of larger nodes are the
-    crowd, in which `crowded` finds every link.  So that it has little to do, they branch on (by their TOKENS
-    minwise values, up to `levels` levels) or else are dealt out, into parts that are compared here.
-    """
-    step = lambda p: F.xxhash64(p, F.get("tokens", F.pmod(p, F.lit(TOKENS)).cast("int")))
-    live = sets.select("v", "tokens", F.explode(F.slice("paths", 1, trees)).alias("path"))
-    done: list[DataFrame] = []
-    crowd = sets.select("v").limit(0)
-    for level in range(FIRST, levels + 1):
-        sizes = written(live.groupBy("path").count().filter("count > 1"))
-        done.append(live.select("v", "path").join(sizes.filter(F.col("count") <= node).select("path"), "path").withColumn("part", F.lit(0)))
-        large = sizes.filter(F.col("count") > node)
-        if large.isEmpty():
-            break
-        rows = live.join(large, "path")
-        if level == FIRST:
-            crowd = written(rows.select("v").distinct())
-        if level == levels:
-            n = (F.floor(F.col("count") / (node // 2)) + 1).cast("int")
-            done.append(rows.select("v", "path", F.pmod(F.xxhash64("v", "path"), n).cast("int").alias("part")))
-            break
-        live = written(rows.select("v", "tokens", step(F.col("path")).alias("path")))
-    every = done[0]
-    for d in done[1:]:
-        every = every.unionByName(d)
-    lists = every.groupBy("path", "part").agg(F.sort_array(F.collect_set("v")).alias("members"))
-    return lists.filter(F.size("members") > 1).select("members").distinct(), crowd
-
-
-def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """v, g: the shingles of which two linked sets have one in common, those that only one set has left out.
-
-    Sets A and B are linked only if they share ceil(percent% of |A|) shingles, so A's |A| - that + 1 rarest ones
-    (ties by hash) hold one that is among B's too.
-    """
+def crowd_paths(sets: DataFrame, trees: int = CROWD_TREES) -> DataFrame:
+    """v, n_shingles, path: the paths of whole sets in the deeper trees of the crowd, a row for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                own = batch.slice(at, 256)
-                items = [np.frombuffer(x, np.int64) for x in own.column(1).to_pylist()]
-                n = np.fromiter(map(len, items), np.int64, len(items))
-                yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(np.repeat(n, n)), pa.array(np.concatenate(items))], names=["v", "n", "g"])
+            for at in range(0, batch.num_rows, 128):
+                own = batch.slice(at, 128)
+                items = [np.frombuffer(x, np.uint64) for x in own.column(2).to_pylist()]
+                cut = np.concatenate([[0], np.cumsum([len(x) for x in items])])
+                paths = tree_paths(np.concatenate(items), cut, np.arange(len(items)), range(TREES, TREES + trees), CROWD_LEVEL)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), _lists(paths)], names=["v", "n_shingles", "paths"])
+
+    found = sets.select("v", "n_shingles", "items").mapInArrow(run, f"v {dict(sets.dtypes)['v']}, n_shingles long, paths array<long>")
+    return found.select("v", "n_shingles", F.explode("paths").alias("path"))
+
 
-    grams = written(sets.select("v", "items").mapInArrow(run, f"v {dict(sets.dtypes)['v']}, n long, g long"))
-    df = grams.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
-    own = grams.join(df, "g").groupBy("v", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("shared"))
-    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("shared"))
-    return own.filter(first > 0).select("v", F.explode(F.slice("shared", 1, first.cast("int"))).alias("x")).select("v", "x.g")
+def occupied(paths: DataFrame) -> DataFrame:
+    """v, n_shingles, path, count: the places in nodes with two documents or more."""
+    paths = paths.distinct()
+    return written(paths.join(paths.groupBy("path").count().filter("count > 1"), "path"))
 
 
-def crowded(sets: DataFrame, component: DataFrame, percent: int, node: int = NODE) -> DataFrame:
-    """members: arrays of v that hold together every linked pair of the sets whose ends have different components.
+def small_lists(places: DataFrame, crowd: DataFrame, node: int) -> DataFrame:
+    """members: sorted arrays of v to be compared with each other, from the nodes with up to `node` documents.
 
-    Sets that share a rare shingle are compared, unless all are of one component.  Shingles with more than
-    `node` sets make families of these sets, compared in pairs of blocks; a component of half a node or
-    more has blocks of its own, which are not compared with each other.
+    A node of crowd documents only is left to the crowd's own trees.  Nodes that share documents become one list as long as
+    it stays within LIST_DOCS and LIST_SHINGLES; nodes of larger bundles stay lists of their own.
     """
-    own = written(rare_shingles(sets, percent).join(component, "v", "left").select("v", "g", F.coalesce("component", "v").alias("c")))
-    groups = written(own.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("a"), F.max("c").alias("b"), F.min("v").alias("v0")).filter("a <> b"))
-    few = own.join(groups.filter(F.col("n") <= node).select("g"), "g").groupBy("g").agg(F.sort_array(F.collect_set("v")).alias("members"))
-    hot = groups.filter(F.col("n") > node)
-    if hot.isEmpty():
-        return written(few.select("members").distinct())
-    many = written(own.join(hot.select("g", "v0"), "g").select("v", "c", "v0").distinct())
-    family = written(connected(many.filter("v > v0").select(F.col("v").alias("hi"), F.col("v0").alias("lo")).distinct()))
-    many = many.select("v", "c").distinct().join(family.withColumnRenamed("component", "f"), "v")
+    own = places.filter(F.col("count") <= node).join(crowd.withColumn("crowded", F.lit(1)), "v", "left")
+    lists = own.groupBy("path").agg(F.min("v").alias("v0"), F.min(F.coalesce("crowded", F.lit(0))).alias("crowded")).filter("crowded = 0")
+    own = written(own.select("v", "n_shingles", "path").join(lists.select("path", "v0"), "path"))
+    bundle = connected(own.filter("v > v0").select(F.col("v").alias("hi"), F.col("v0").alias("lo")).distinct())
+    held = own.select("v", "n_shingles").distinct().join(bundle.withColumnRenamed("component", "b"), "v")
+    few = (F.count("*") <= LIST_DOCS) & (F.sum("n_shingles") <= LIST_SHINGLES)
+    size = written(held.groupBy("b").agg(few.alias("few")))
+    held = written(held.join(size, "b").select("v", "b", "few"))
+    whole = held.filter("few").groupBy("b").agg(F.sort_array(F.collect_set("v")).alias("members")).select("members")
+    parts = own.join(held.filter("not few").select("v"), "v").groupBy("path").agg(F.sort_array(F.collect_set("v")).alias("members"))
+    return written(whole.unionByName(parts.select("members").distinct()).filter(F.size("members") > 1))
+
+
+def block_lists(places: DataFrame, component: DataFrame, node: int) -> DataFrame:
+    """members: arrays of v that hold together every two documents of one family whose components differ.
+
+    A family is what large nodes with documents in common hold.  It is dealt out into blocks of half a node,
+    compared in pairs; a component of half a node or more has blocks of its own, which are not compared with
+    each other.
+    """
+    first = places.groupBy("path").agg(F.min("v").alias("v0"))
+    family = written(connected(places.join(first, "path").filter("v > v0").select(F.col("v").alias("hi"), F.col("v0").alias("lo")).distinct()))
+    many = family.withColumnRenamed("component", "f").join(component, "v", "left").select("v", "f", F.coalesce("component", "v").alias("c"))
     count = many.groupBy("f", "c").count().withColumn("big", F.col("count") >= node // 2)
     placed = many.join(count, ["f", "c"]).select("v", "f", F.when(F.col("big"), F.col("c")).alias("c"))
     placed = written(placed.withColumn("h", F.xxhash64("c", F.isnull("c"))))
@@ -171,7 +153,7 @@ def crowded(sets: DataFrame, component: DataFrame, percent: int, node: int = NOD
     ends = F.explode(F.array_distinct(F.array(F.struct("a.h", "a.part"), F.struct("b.h", "b.part")))).alias("e")
     pairs = pairs.select(F.col("a.f").alias("f"), F.xxhash64("a.h", "a.part", "b.h", "b.part").alias("pair"), ends).select("f", "pair", F.col("e.h").alias("h"), F.col("e.part").alias("part"))
     lists = placed.join(pairs, ["f", "h", "part"]).groupBy("f", "pair").agg(F.sort_array(F.collect_set("v")).alias("members"))
-    return written(few.select("members").unionByName(lists.select("members")).filter(F.size("members") > 1).distinct())
+    return written(lists.select("members").filter(F.size("members") > 1))
 
 
 def links_in(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
@@ -205,20 +187,18 @@ def links_in(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     return root
 
 
-def compare(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """hi, lo: links that connect what is linked in each node, fewer than the node has documents."""
-    rows = nodes.select(F.xxhash64("members").alias("node"), F.size("members").alias("size"), F.explode("members").alias("v")).join(sets, "v")
+def compare(lists: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """hi, lo: links that connect what is linked in each list, fewer than the list has documents."""
+    rows = lists.select(F.xxhash64("members").alias("node"), F.size("members").alias("size"), F.explode("members").alias("v")).join(sets, "v")
     rows = rows.select("node", "size", "v", "items").repartition("node", "size").sortWithinPartitions("node", "size", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, names, items = None, [], []
 
         def links() -> pa.RecordBatch:
-            first = [i for i, v in enumerate(names) if i == 0 or names[i - 1] != v]
-            own = [names[i] for i in first]
-            root = links_in([np.frombuffer(items[i], np.uint64) for i in first], percent) if len(own) > 1 else np.zeros(1, int)
-            pairs = [(own[i], own[r]) for i, r in enumerate(root.tolist()) if i != r]
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], v_type), pa.array([p[1] for p in pairs], v_type)], names=["hi", "lo"])
+            root = links_in([np.frombuffer(x, np.uint64) for x in items], percent)
+            pairs = {(max(names[i], names[r]), min(names[i], names[r])) for i, r in enumerate(root.tolist()) if names[i] != names[r]}
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], v_type) for k in (0, 1)], names=["hi", "lo"])
 
         for batch in batches:
             v_type = batch.column(2).type
@@ -241,65 +221,106 @@ def connected(edges: DataFrame) -> DataFrame:
 
     Each round replaces an edge by one to the least neighbour; a star's centre never gathers its rays.
     """
+    state = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
     edges = written(edges)
+    before = state(edges)
     while True:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("w")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("w")))
-        least = written(both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = written(both.filter("w > u").join(least, "u").select(F.col("w").alias("hi"), F.col("m").alias("lo")).distinct())
-        least = written(large.groupBy("hi").agg(F.min("lo").alias("m")))
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         after = written(small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct())
-        check = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
-        if check(after) == check(edges):
-            return after.select(F.col("hi").alias("v"), F.col("lo").alias("component"))
-        edges = after
-
+        now = state(after)
+        if now == before:
+            found = after.select(F.col("hi").alias("v"), F.col("lo").alias("component"))
+            return found.unionByName(found.select(F.col("component").alias("v"), "component").distinct())
+        edges, before = after, now
 
-def near_duplicates(docs: DataFrame, trees: int = TREES, percent: int = PERCENT) -> DataFrame:
-    """For each row: doc_id, k1, k2, n_shingles, component_id (the least doc_id reachable by links), kept.
 
-    A document's set holds the distinct runs of 5 words (lower-cased ASCII).  Rows with equal sets are one
-    class first, named by its least doc_id, so a group of copies, however large, is one document from then
-    on.  The classes go down FIRST levels of `trees` independent trees (at most TREES; see chosen_paths);
-    documents that meet in a small node are compared on whole sets.  Among documents of larger nodes every link
-    that joins components is found (see crowded).  Links unite to components.  A pair of similarity s that
-    is not in the crowd is missed with probability (1 - s**3) ** trees: 2.4e-7 at 0.85, 1e-5 at 0.8.
+def whole_sets(given: DataFrame, wanted: DataFrame) -> DataFrame:
+    """v, n_shingles, items (the shingles as bytes) of the wanted rows (v, k1, k2).
 
-    Null or empty texts have empty sets and no links.  A null doc_id has no component and is kept.  Rows that
-    share a doc_id are one document of the graph; other columns are ignored; an empty table gives none.
+    A bitmap of the wanted keys rules out most other rows where the texts are read; only what may be wanted is shuffled.
     """
-    given = keyed(docs)
-    facts = written(signatures(given))
-    classes = written(facts.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("v")))
-    reps = facts.join(classes, ["s1", "s2"]).filter(F.col("doc_id") == F.col("v"))
-    reps = written(reps.select("v", "k1", "k2", "paths", "tokens").dropDuplicates(["v", "k1", "k2"]))
-    nodes, crowd = chosen_paths(reps.select("v", "paths", "tokens"), trees)
-    nodes = written(nodes)
-    wanted = written(nodes.select(F.explode("members").alias("v")).unionByName(crowd).distinct().join(reps.select("v", "k1", "k2"), "v"))
+    bitmap = membership(wanted, "k2")
+    shared = given.sparkSession.sparkContext.broadcast(bitmap)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(held, batch.column(1).to_numpy().view(np.uint64))))
 
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in chunks(batch.column(1)):
                 h, cut = shingle_sets(texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["v", "items"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(np.diff(cut), pa.int64()), pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["v", "n_shingles", "items"])
 
-    texts = given.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("v", "text")
-    sets = written(texts.mapInArrow(items, f"v {dict(docs.dtypes)['doc_id']}, items binary"))
-    links = written(compare(nodes, sets, percent))
-    component = written(connected(links))
+    rows = given.select("k1", "k2", "text").mapInArrow(sift, "k1 long, k2 long, text string")
+    once = rows.join(wanted, ["k1", "k2"]).select("v", "text")
+    return written(once.mapInArrow(items, f"v {dict(wanted.dtypes)['v']}, n_shingles long, items binary"))
+
+
+def stand_in(docs: DataFrame) -> Column:
+    """doc_id; for rows without one a value after all others, from a hash of the text."""
+    kind = dict(docs.dtypes)["doc_id"]
+    hashed = F.xxhash64(F.lit("no id"), "text")
+    late = F.concat(F.lit("\U0010ffff"), hashed.cast("string")) if kind == "string" else (hashed.bitwiseAND(F.lit((1 << 62) - 1)) + (1 << 62)).cast("long")
+    return F.coalesce(F.col("doc_id") if kind == "string" else F.col("doc_id").cast("long"), late)
+
+
+def near_duplicates(docs: DataFrame, trees: int = TREES, percent: int = PERCENT, node: int = NODE) -> DataFrame:
+    """For each row: doc_id, k1, k2, n_shingles, component_id (the least doc_id reachable by links), kept.
+
+    A document's set holds the distinct runs of 5 words (lower-cased ASCII).  Rows with equal sets are one
+    class first, named by its least doc_id, so a group of copies, however large, is one document from then
+    on.  In each of `trees` independent trees a node picks a minwise function by its path; classes with equal
+    values there go to the same child.  Nodes at LEVEL with up to `node` documents are compared exhaustively on
+    whole sets.  Documents of larger nodes, the crowd, walk CROWD_TREES more trees down to CROWD_LEVEL, where only
+    alike sets still meet; nodes that are large even there are compared in blocks.  Links unite to components.
+
+    A pair of similarity s is missed with probability (1 - s**3) ** 16 (2.4e-7 at 0.85, 1e-5 at 0.8), or in the
+    crowd (1 - s**8) ** 64 (1.5e-9 and 8e-6).
+
+    Null or empty texts have empty sets and no links.  Rows without doc_id (an integer below 2**62, or a string) count
+    as after all others, rows with equal texts among them as one: they join groups, and component_id is null if
+    no member has an id.  kept is true for each row of that doc_id that names the component, so of rows repeated with
+    it too.  Other columns are ignored; an empty table gives none.
+    """
+    given = keyed(docs).withColumn("v", stand_in(docs))
+    facts = written(signatures(given, trees))
+    classes = written(facts.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("v").alias("c")))
+    reps = facts.join(classes, ["s1", "s2"]).filter(F.col("v") == F.col("c"))
+    reps = written(reps.select("v", "k1", "k2", "n_shingles", "paths").dropDuplicates(["v", "k1", "k2"]))
+    places = occupied(reps.select("v", "n_shingles", F.explode("paths").alias("path")))
+    crowd = written(places.filter(F.col("count") > node).select("v").distinct())
+    lists = small_lists(places, crowd, node)
+    sets = whole_sets(given, places.select("v").distinct().join(reps.select("v", "k1", "k2"), "v"))
+    links = written(compare(lists, sets, percent))
     if not crowd.isEmpty():
-        more = compare(crowded(sets.join(crowd, "v", "left_semi"), component, percent), sets, percent)
-        component = written(connected(links.unionByName(more).distinct()))
-    own = written(classes.join(component, "v", "left").select("s1", "s2", F.coalesce("component", "v").alias("component")))
-    out = facts.join(own, ["s1", "s2"], "left")
-    cid = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "k1", "k2", "n_shingles", cid.alias("component_id"), F.coalesce(F.col("doc_id") == cid, F.col("doc_id").isNull()).alias("kept"))
+        places = occupied(crowd_paths(sets.join(crowd, "v", "left_semi")))
+        more = compare(small_lists(places, crowd.limit(0), node), sets, percent)
+        links = written(links.unionByName(more).distinct())
+        large = places.filter(F.col("count") > node).select("v", "path")
+        if not large.isEmpty():
+            more = compare(block_lists(large, connected(links), node), sets, percent)
+            links = written(links.unionByName(more).distinct())
+    component = written(connected(links))
+    own = written(classes.join(component, classes["c"] == component["v"], "left").select("s1", "s2", F.coalesce("component", "c").alias("component")))
+    out = facts.drop("paths").join(own, ["s1", "s2"], "left")
+    cid = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("v"))
+    # a stand-in for a missing doc_id is no id
+    ids = docs.select("doc_id").schema[0].dataType
+    named = lambda c: F.when(c < F.lit("\U0010ffff"), c) if ids.simpleString() == "string" else F.when(c < (1 << 62), c)
+    return out.select(named(F.col("v")).cast(ids).alias("doc_id"), "k1", "k2", "n_shingles", named(cid).cast(ids).alias("component_id"), (F.col("v") == cid).alias("kept"))
 
 
 def keep_one(docs: DataFrame, trees: int = TREES, percent: int = 80) -> DataFrame:
     """One row of docs, with all its columns, of each group of near duplicates: that with the least doc_id.
 
-    Of rows that agree in doc_id and text one stays.
+    Rows without doc_id lose to rows with one; of rows that agree in doc_id and text one stays.  A null or empty text is in no
+    group.  Columns may have any names; an empty table gives an empty one.
     """
     groups = written(near_duplicates(docs, trees, percent).select("k1", "k2", "kept"))
     rest = whole_rows(docs, groups.filter("not kept"), "left_anti")

@@ -119,7 +119,7 @@ def test_suffix_dedup_in_small_steps(spark, tables, monkeypatch, merge, hold, ho
     want = sorted(whole.collect(), key=lambda r: r.doc_id)
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     given = suffix_dedup.keyed(docs)
-    every = bytes(b"\xff" * (suffix_dedup.membership.__globals__["FILTER_BITS"] // 8))
+    every = b"\xff" * 1024
     monkeypatch.setattr(suffix_dedup, "MERGE", merge)
     monkeypatch.setattr(suffix_dedup, "HOLD_BYTES", hold)
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
@@ -131,7 +131,7 @@ def test_suffix_dedup_in_small_steps(spark, tables, monkeypatch, merge, hold, ho
 
 def test_seed_filter_is_only_a_filter(spark, tables, monkeypatch):
     want = sorted(substring_dedup.op7_seed_extend_dedup(spark, tables).collect(), key=lambda r: r.doc_id)
-    every = bytes(b"\xff" * (suffix_dedup.membership.__globals__["FILTER_BITS"] // 8))
+    every = b"\xff" * 1024
     monkeypatch.setattr(substring_dedup, "membership", lambda *a: every)
     assert sorted(substring_dedup.op7_seed_extend_dedup(spark, tables).collect(), key=lambda r: r.doc_id) == want
 
@@ -158,11 +158,9 @@ def test_near_duplicates_in_deep_nodes(spark, monkeypatch):
             if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
                 root[max(find(a), find(b))] = min(find(a), find(b))
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
-    for node, levels in ((512, 16), (8, 4)):
-        paths = near_dedup.chosen_paths
-        monkeypatch.setattr(near_dedup, "chosen_paths", lambda s, trees, p=paths, n=node, k=levels: p(s, trees, n, k))
-        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
-        monkeypatch.setattr(near_dedup, "chosen_paths", paths)
+    for node, most in ((512, 2048), (8, 2048), (8, 4), (40, 10)):
+        monkeypatch.setattr(near_dedup, "LIST_DOCS", most)
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, node=node).collect()}
         assert got == {i: find(i) for i in range(len(sets))}
 
 
@@ -186,9 +184,19 @@ def test_links_among_thousands_of_boilerplate_texts(spark, percent, changed, ali
     assert {i: c for i, c in got.items() if c != i - i % 2} == {}
 
 
+def test_rows_without_id_join_groups(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = [(None, text), (None, text), (5, text), (4, text + " end"), (None, "x y"), (None, "x y"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = near_dedup.keep_one(docs).collect()
+    assert sorted((str(r.doc_id), (r.text or "")[-3:]) for r in kept) == [("4", "end"), ("None", ""), ("None", "x y")]
+    names = docs.selectExpr("cast(doc_id as string) doc_id", "text")
+    assert sorted((str(r.doc_id), (r.text or "")[-3:]) for r in near_dedup.keep_one(names).collect()) == [("4", "end"), ("None", ""), ("None", "x y")]
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(101, 100)], "hi long, lo long")
-    assert {r.v: r.component for r in near_dedup.connected(edges).collect()} == {**{i: 0 for i in range(1, 61)}, 101: 100}
+    assert {r.v: r.component for r in near_dedup.connected(edges).collect()} == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
 def test_packing_round_trip(spark, tables):
@@ -272,7 +280,7 @@ def test_membership_bits(spark):
 
     from palimpsest.llm import _spark
 
-    values = [0, 1, 32767, 32768, (1 << 25) - 1, -1, 12345678901234]
+    values = [0, 1, 32767, 32768, (1 << 20) - 1, -1, 12345678901234]
     bits = np.frombuffer(_spark.membership(spark.createDataFrame([(v,) for v in values], "h long"), "h"), np.uint8)
     h = np.array(values, np.int64).view(np.uint64)
-    assert _spark.may_hold(bits, h).all() and int(np.unpackbits(bits).sum()) == len({v & ((1 << 25) - 1) for v in values})
+    assert _spark.may_hold(bits, h).all() and int(np.unpackbits(bits).sum()) == len({v & (_spark.FILTER_LEAST - 1) for v in values})
