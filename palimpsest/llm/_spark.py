@@ -48,11 +48,10 @@ def keyed(docs: DataFrame, *cols: str) -> DataFrame:
 
 
 def membership(hashes: DataFrame, col: str) -> bytes:
-    """A bitmap with a bit for each value of the column (by its low bits), sized by their number.
+    """A bitmap with a bit for each value of the column (by its low bits) of a written table, sized by their number.
 
     It is aggregated on the executors; the driver gets FILTER_MOST / 8 bytes at most, whatever the input.
     """
-    hashes = written(hashes.select(col))
     bits = FILTER_LEAST
     n = hashes.count()
     while bits < FILTER_MOST and bits < FILTER_RATIO * n:

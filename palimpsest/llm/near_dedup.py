@@ -108,27 +108,29 @@ def crowd_paths(sets: DataFrame, trees: int = CROWD_TREES) -> DataFrame:
 
 def occupied(paths: DataFrame) -> DataFrame:
     """v, n_shingles, path, count: the places in nodes with two documents or more."""
-    paths = paths.distinct()
     return written(paths.join(paths.groupBy("path").count().filter("count > 1"), "path"))
 
 
-def small_lists(places: DataFrame, crowd: DataFrame, node: int) -> DataFrame:
+def small_lists(places: DataFrame, crowd: DataFrame | None, node: int) -> DataFrame:
     """members: sorted arrays of v to be compared with each other, from the nodes with up to `node` documents.
 
-    A node of crowd documents only is left to the crowd's own trees.  Nodes that share documents become one list as long as
-    it stays within LIST_DOCS and LIST_SHINGLES; nodes of larger bundles stay lists of their own.
+    A node of crowd documents only is left to the crowd's own trees.  Nodes whose documents lead to one least document
+    in two steps become one list if it stays within LIST_DOCS and LIST_SHINGLES; else each is a list of its own.
     """
-    own = places.filter(F.col("count") <= node).join(crowd.withColumn("crowded", F.lit(1)), "v", "left")
-    lists = own.groupBy("path").agg(F.min("v").alias("v0"), F.min(F.coalesce("crowded", F.lit(0))).alias("crowded")).filter("crowded = 0")
-    own = written(own.select("v", "n_shingles", "path").join(lists.select("path", "v0"), "path"))
-    bundle = connected(own.filter("v > v0").select(F.col("v").alias("hi"), F.col("v0").alias("lo")).distinct())
-    held = own.select("v", "n_shingles").distinct().join(bundle.withColumnRenamed("component", "b"), "v")
+    own = places.filter(F.col("count") <= node).select("v", "n_shingles", "path")
+    if crowd is not None:
+        own = own.join(crowd.withColumn("crowded", F.lit(1)), "v", "left")
+        own = own.join(own.groupBy("path").agg(F.min(F.coalesce("crowded", F.lit(0))).alias("all")).filter("all = 0"), "path").select("v", "n_shingles", "path")
+        own = written(own)
+    first = own.groupBy("path").agg(F.min("v").alias("v0"))
+    near = own.join(first, "path").groupBy("v").agg(F.min("v0").alias("v1"))
+    label = own.join(near, "v").groupBy("path").agg(F.min("v1").alias("label"))
+    held = written(own.join(label, "path").select("label", "path", "v", "n_shingles"))
     few = (F.count("*") <= LIST_DOCS) & (F.sum("n_shingles") <= LIST_SHINGLES)
-    size = written(held.groupBy("b").agg(few.alias("few")))
-    held = written(held.join(size, "b").select("v", "b", "few"))
-    whole = held.filter("few").groupBy("b").agg(F.sort_array(F.collect_set("v")).alias("members")).select("members")
-    parts = own.join(held.filter("not few").select("v"), "v").groupBy("path").agg(F.sort_array(F.collect_set("v")).alias("members"))
-    return written(whole.unionByName(parts.select("members").distinct()).filter(F.size("members") > 1))
+    size = held.select("label", "v", "n_shingles").distinct().groupBy("label").agg(few.alias("few"))
+    by = F.when(F.col("few"), F.struct("label", F.lit(0).cast("long").alias("path"))).otherwise(F.struct("label", "path"))
+    lists = held.join(size, "label").groupBy(by.alias("by")).agg(F.sort_array(F.collect_set("v")).alias("members"))
+    return written(lists.select("members").filter(F.size("members") > 1).distinct())
 
 
 def block_lists(places: DataFrame, component: DataFrame, node: int) -> DataFrame:
@@ -139,7 +141,7 @@ def block_lists(places: DataFrame, component: DataFrame, node: int) -> DataFrame
     each other.
     """
     first = places.groupBy("path").agg(F.min("v").alias("v0"))
-    family = written(connected(places.join(first, "path").filter("v > v0").select(F.col("v").alias("hi"), F.col("v0").alias("lo")).distinct()))
+    family = connected(written(places.join(first, "path").filter("v > v0").select(F.col("v").alias("hi"), F.col("v0").alias("lo")).distinct()))
     many = family.withColumnRenamed("component", "f").join(component, "v", "left").select("v", "f", F.coalesce("component", "v").alias("c"))
     count = many.groupBy("f", "c").count().withColumn("big", F.col("count") >= node // 2)
     placed = many.join(count, ["f", "c"]).select("v", "f", F.when(F.col("big"), F.col("c")).alias("c"))
@@ -217,12 +219,11 @@ def compare(lists: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """v, component (its least member) of each end of the edges hi > lo: alternating large and small stars.
+    """v, component (its least member) of each end of the edges hi > lo (a written table): alternating large and small stars.
 
     Each round replaces an edge by one to the least neighbour; a star's centre never gathers its rays.
     """
     state = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
-    edges = written(edges)
     before = state(edges)
     while True:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("w")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("w")))
@@ -243,6 +244,7 @@ def whole_sets(given: DataFrame, wanted: DataFrame) -> DataFrame:
 
     A bitmap of the wanted keys rules out most other rows where the texts are read; only what may be wanted is shuffled.
     """
+    wanted = written(wanted)
     bitmap = membership(wanted, "k2")
     shared = given.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -290,24 +292,26 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, percent: int = PERCENT,
     """
     given = keyed(docs).withColumn("v", stand_in(docs))
     facts = written(signatures(given, trees))
-    classes = written(facts.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("v").alias("c")))
-    reps = facts.join(classes, ["s1", "s2"]).filter(F.col("v") == F.col("c"))
-    reps = written(reps.select("v", "k1", "k2", "n_shingles", "paths").dropDuplicates(["v", "k1", "k2"]))
+    rep = F.min(F.struct("v", "k1", "k2", "n_shingles", "paths")).alias("rep")
+    reps = written(facts.filter("n_shingles > 0").groupBy("s1", "s2").agg(rep).select("s1", "s2", "rep.*"))
     places = occupied(reps.select("v", "n_shingles", F.explode("paths").alias("path")))
     crowd = written(places.filter(F.col("count") > node).select("v").distinct())
-    lists = small_lists(places, crowd, node)
+    some = not crowd.isEmpty()
+    lists = small_lists(places, crowd if some else None, node)
     sets = whole_sets(given, places.select("v").distinct().join(reps.select("v", "k1", "k2"), "v"))
-    links = written(compare(lists, sets, percent))
-    if not crowd.isEmpty():
+    if some:
         places = occupied(crowd_paths(sets.join(crowd, "v", "left_semi")))
-        more = compare(small_lists(places, crowd.limit(0), node), sets, percent)
-        links = written(links.unionByName(more).distinct())
-        large = places.filter(F.col("count") > node).select("v", "path")
-        if not large.isEmpty():
-            more = compare(block_lists(large, connected(links), node), sets, percent)
-            links = written(links.unionByName(more).distinct())
-    component = written(connected(links))
-    own = written(classes.join(component, classes["c"] == component["v"], "left").select("s1", "s2", F.coalesce("component", "c").alias("component")))
+        lists = lists.unionByName(small_lists(places, None, node)).distinct()
+    component = connected(written(compare(lists, sets, percent)))
+    if some:
+        large = places.filter(F.col("count") > node).join(component, "v", "left").select("v", "path", F.coalesce("component", "v").alias("c"))
+        mixed = large.groupBy("path").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("path")
+        mixed = written(large.join(mixed, "path").select("v", "path"))
+        if not mixed.isEmpty():
+            more = compare(block_lists(mixed, component, node), sets, percent)
+            stars = component.filter("v > component").select(F.col("v").alias("hi"), F.col("component").alias("lo"))
+            component = connected(written(stars.unionByName(more).distinct()))
+    own = written(reps.select("s1", "s2", "v").join(component, "v", "left").select("s1", "s2", F.coalesce("component", "v").alias("component")))
     out = facts.drop("paths").join(own, ["s1", "s2"], "left")
     cid = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("v"))
     # a stand-in for a missing doc_id is no id

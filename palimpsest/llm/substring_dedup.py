@@ -82,7 +82,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Other columns are ignored; an empty table gives an empty result.
     """
     given = keyed(docs)
-    twice = seed_hashes(given).groupBy("s").count().filter("count > 1")
+    twice = written(seed_hashes(given).groupBy("s").count().filter("count > 1").select("s"))
     seeds = membership(twice, "s")
     repeated = written(passages(given, seeds).groupBy("h", "c").count().filter("count > 1").select("h", "c"))
     places = passages(given, seeds, membership(repeated, "h"), places=True)

@@ -266,7 +266,7 @@ def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     twice = written(anchor_hashes(given).groupBy("a").count().filter("count > 1"))
     most = max(HOT, (twice.agg(F.sum("count")).first()[0] or 0) // HOT_MOST)
     hot = np.sort(np.array([r[0] for r in twice.filter(F.col("count") > most).select("a").collect()], np.int64).view(np.uint64))
-    pieces = membership(piece_keys(given, hot).groupBy("a").count().filter("count > 1"), "a") if len(hot) else None
+    pieces = membership(written(piece_keys(given, hot).groupBy("a").count().filter("count > 1").select("a")), "a") if len(hot) else None
     gone = repeats(segments(given, membership(twice, "a"), hot, pieces).repartition("a").sortWithinPartitions("a"))
     spans = gone.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
     rows = given.join(spans, ["k1", "k2"], "left")
