@@ -72,6 +72,15 @@ def may_hold(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
+#: Rows of a small table (a few kilobytes each) that go to every executor at most.
+SEND_ROWS = 10_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df (a written table) marked to be broadcast, if it is small by count; a larger one is left to a shuffled join."""
+    return F.broadcast(df) if df.limit(SEND_ROWS + 1).count() <= SEND_ROWS else df
+
+
 def sha(col: Column) -> Column:
     return F.sha2(col.cast("binary"), 256)
 

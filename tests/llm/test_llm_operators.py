@@ -261,6 +261,17 @@ def test_language_mixture(spark):
     assert (got[1001].lang_pred, got[1001].score, got[1002].lang_pred) == ("und", 0.0, "und")
 
 
+def test_quality_rejects_other_languages_and_symbols(spark):
+    rng = random.Random(5)
+    made = {lang: ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 9))) for _ in range(400)] for lang in WORDS}
+    some = lambda lang, n, common=True: " ".join(rng.choice(WORDS[lang].split()) if common and rng.random() < 0.3 else rng.choice(made[lang]) for _ in range(n))
+    rows = [(i, some(lang, 150), lang) for i, lang in enumerate(["en", "fr", "de"] * 40)]
+    rows += [(1000, some("fr", 200), "en"), (1001, some("en", 200, False), "en"), (1002, " ".join(f"{rng.randrange(10**6)} #{i} |" for i in range(80)), "en"), (1003, some("fr", 60), "en"), (1004, None, "en"), (1005, some("en", 300), "xx")]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [i for i, r in got.items() if not r.kept] == [1000, 1001, 1002, 1004]
+    assert [i for i, r in got.items() if r.base_failed] == [1004]
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("abcd|xyz") == ("or", ("and", ("tri", "abc"), ("tri", "bcd")), ("tri", "xyz"))
     assert secrets.trigram_query("[0-9a-f]{32,}") == secrets.ALL
