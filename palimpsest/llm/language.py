@@ -6,7 +6,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +15,14 @@ from palimpsest.llm._vec import LOWER, byte_values, chunks, gram_hash, prefix_ha
 
 #: Buckets of hashed byte n-grams, their lengths, and labelled rows the model is fitted on for each language.
 BUCKETS, GRAMS, FIT_ROWS = 1 << 15, (2, 3, 4), 1500
-#: EM steps, additive smoothing, and languages told apart (those with the most sampled rows, ties by name).
-STEPS, SMOOTHING, LANGUAGES = 12, 0.1, 200
+#: EM steps and additive smoothing.
+STEPS, SMOOTHING = 12, 0.1
 NO_LETTER = "und"
 
 
 def gram_buckets(text: bytes) -> np.ndarray:
-    """Buckets of the byte n-grams of a text with ASCII letters lower-cased and all other ASCII one blank."""
-    own = np.frombuffer(text.translate(_FOLD), np.uint8)
+    """Buckets of the byte n-grams of a text with ASCII letters lower-cased and all other ASCII a blank, one more at each end."""
+    own = np.frombuffer(b" " + text.translate(_FOLD) + b" ", np.uint8)
     c = prefix_hash(byte_values(own))
     return np.concatenate([gram_hash(c, k) for k in GRAMS]).astype(np.uint32) % np.uint32(BUCKETS)
 
@@ -70,36 +69,35 @@ class Model:
 
 
 def fit_model(docs: DataFrame, rows: int = FIT_ROWS) -> Model | None:
-    """From at most `rows` labelled rows of each of LANGUAGES languages: those with the least hash of doc_id.
+    """From about `rows` labelled rows of each language, drawn by the hash of doc_id (a language with few is used whole).
 
     Each language's sample is taken from a Bernoulli draw by that hash, so no sort of all rows is needed; the
-    draw's rate follows from the language's count, and languages with few rows are used whole.  The driver
-    gets one row of BUCKETS counts for each language.
+    draw's rate follows from the language's count.  Counts add up in the JVM, bucket by bucket; the driver gets the model: the buckets
+    of each language that occur, which grow with the number of languages, not of rows.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not sizes:
-        return None
-    rate = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, rows / r["count"])))))
+    sizes = labelled.groupBy("lang").count().select(F.col("lang").alias("_lang"), (rows / F.col("count")).alias("rate"))
     draw = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    sample = labelled.filter(F.col("lang").isin([r["lang"] for r in sizes]) & (draw < F.try_element_at(rate, F.col("lang")))).select("lang", "text")
+    sample = labelled.select("lang", "text", draw.alias("draw")).join(F.broadcast(sizes), F.col("lang") == F.col("_lang")).filter("draw < rate").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, np.ndarray] = {}
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
-                found.setdefault(lang, np.zeros(BUCKETS))
-                found[lang] += np.bincount(gram_buckets(text), minlength=BUCKETS)
-        for lang, n in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([n.tobytes()])], names=["lang", "n"])
-
-    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"lang": [key[0]], "n": [sum(np.frombuffer(x) for x in frame["n"]).tobytes()]})
-
-    # one row from each task and language, then one from each language
-    parts = sample.mapInArrow(count, "lang string, n binary")
-    got = parts.groupBy("lang").applyInPandas(add, "lang string, n binary").orderBy("lang").collect()
-    return Model([r["lang"] for r in got], np.stack([np.frombuffer(bytes(r["n"])) for r in got]))
+            langs = batch.column(0).cast(pa.string()).to_pylist()
+            for first, texts in chunks(batch.column(1)):
+                found: dict[str, list[np.ndarray]] = {}
+                for lang, text in zip(langs[first : first + len(texts)], texts, strict=True):
+                    found.setdefault(lang, []).append(gram_buckets(text))
+                for lang, grams in found.items():
+                    bucket, n = np.unique(np.concatenate(grams), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(bucket)), pa.array(bucket.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "bucket", "n"])
+
+    got = sample.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    if not len(got):
+        return None
+    names = sorted(got["lang"].unique())
+    counts = np.zeros((len(names), BUCKETS))
+    counts[got["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(), got["bucket"].to_numpy()] = got["n"]
+    return Model(names, counts)
 
 
 def training(col: str = "doc_id"):

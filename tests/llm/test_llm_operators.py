@@ -252,12 +252,13 @@ def test_language_mixture(spark):
     rng = random.Random(4)
     some = lambda lang, n: " ".join(rng.choice(WORDS[lang].split()) for _ in range(n))
     rows = [(i, some(lang, 60), lang) for i, lang in enumerate(["en", "fr", "de"] * 40)]
-    rows += [(1000, some("en", 60) + " " + some("fr", 40), None), (1001, "123 !", None), (1002, None, None)]
+    rows += [(1000, some("en", 60) + " " + some("fr", 40), None), (1001, "123 !", None), (1002, None, None), (1003, "a", None), (1004, "\u00e9", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in language.identify(docs, language.fit_model(docs.filter(language.training()))).collect()}
     held = [i for i, _, lang in rows if lang and language.held_out(i)]
     assert len(held) > 20 and sum(got[i].lang_pred == rows[i][2] for i in held) >= 0.97 * len(held)
     assert sorted(got[1000].languages) == ["en", "fr"] and got[1000].lang_pred == "en" and 0.45 < got[1000].score < 0.75
+    assert got[1003].lang_pred in WORDS and got[1004].lang_pred in WORDS
     assert (got[1001].lang_pred, got[1001].score, got[1002].lang_pred) == ("und", 0.0, "und")
 
 
