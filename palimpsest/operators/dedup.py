@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.functions.text import normalize, sha256
+from palimpsest.functions.text import basename, normalize, sha256
 
 
 def first_by(df: DataFrame, key: Column, order: list[Column | str]) -> DataFrame:
@@ -25,9 +25,12 @@ def dedup_exact(df: DataFrame, text: str, order: list[Column | str]) -> DataFram
     return first_by(df, F.col(text), order)
 
 
-def union_prioritized(inputs: dict[str, DataFrame]) -> DataFrame:
-    """All rows of the inputs, with source and priority (the place in the given order); missing columns are null."""
-    own = [df.withColumns({"source": F.lit(name), "priority": F.lit(i)}) for i, (name, df) in enumerate(inputs.items())]
+def union_prioritized(inputs: dict[str, DataFrame] | list[tuple[str, DataFrame]]) -> DataFrame:
+    """All rows of the inputs, with source and priority (the place in the given order); missing columns are null.
+
+    Names may repeat: inputs of one name are still inputs of their own.
+    """
+    own = [df.withColumns({"source": F.lit(name), "priority": F.lit(i)}) for i, (name, df) in enumerate(inputs.items() if isinstance(inputs, dict) else inputs)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), own)
 
 
@@ -38,6 +41,18 @@ def merge_questions(rows: DataFrame, text: str = "raw", seq: str = "id") -> Data
     return kept.withColumns({"source_id": F.col("id").cast("string"), "id": sha256(text)})
 
 
+def merge_conversations(rows: DataFrame, seq: str = "seq") -> DataFrame:
+    """Conversations, one for each first user text (first input, then first row); id is that text's SHA-256.
+
+    source_id goes, and a model's path in meta is cut to its last part.
+    """
+    user = F.get(F.filter("messages", lambda m: m.role == "user"), 0).content
+    given = rows.drop("source_id").withColumn("id", sha256(user))
+    if "model" in rows.select("meta.*").columns:
+        given = given.withColumn("meta", F.col("meta").withField("model", basename("meta.model")))
+    return first_by(given, F.col("id"), ["priority", seq])
+
+
 def contribution(rows: DataFrame, kept: DataFrame, source: str = "source") -> DataFrame:
     """For each source its rows, those kept, and those that were duplicates."""
     n = rows.groupBy(source).agg(F.count("*").alias("rows"))

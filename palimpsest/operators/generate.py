@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.functions.conversation import message, render_history, render_system_prompt
+from palimpsest.functions.conversation import render_history, render_system_prompt
 from palimpsest.functions.rules import POLISH, Pack, classify, clean, self_answer
 from palimpsest.functions.text import hash_number, join_list, sha256
 from palimpsest.operators.attempts import resolve_attempts, resume
@@ -84,46 +83,50 @@ class Settings:
     options: dict = field(default_factory=dict)  # sampling parameters; unset ones are left out
 
 
-def run_model(jobs: DataFrame, backend: ModelBackend, settings: Settings = Settings(), key: str = "id", prompt: str = "prompt", seed: str = "seed") -> DataFrame:
-    """key, raw, finish, attempts, error for each job; rows that fail to the end have finish `error`.
+#: What a call adds to a job, beside the number of attempts.
+ANSWER = (("raw", pa.string()), ("finish", pa.string()), ("error", pa.string()), ("reasoning", pa.string()), ("ttft", pa.float64()), ("latency", pa.float64()), ("url", pa.string()))
+
+
+def run_model(jobs: DataFrame, backend: ModelBackend, settings: Settings = Settings(), prompt: str = "prompt", seed: str = "seed") -> DataFrame:
+    """The jobs with raw, finish, error, reasoning, ttft, latency, url and attempts; jobs that fail to the end have finish `error`.
 
     A task calls the backend for `rows` rows at a time and emits as it goes; the number of tasks bounds the calls
-    that run at once.  No row is lost: each key comes back once.
+    that run at once.  Jobs travel through the call with all their columns, so nothing is joined afterwards, and
+    each comes back once.  A column max_tokens is a row's own limit.
     """
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), settings.rows):
-                part = frame.iloc[at : at + settings.rows]
-                rows = [{"prompt": p, "seed": s, **{k: v for k, v in settings.options.items() if v is not None}} for p, s in zip(part["prompt"], part["seed"], strict=True)]
-                error, got, tries = None, None, 0
-                while got is None and tries <= settings.retries:
-                    if tries and settings.backoff:
-                        time.sleep(settings.backoff * tries)
-                    tries += 1
-                    if settings.rate:
-                        time.sleep(1 / settings.rate)
-                    try:
-                        got = backend.complete(rows)
-                    except Retry as e:
-                        error = str(e)[:200]
-                if got is None:
-                    got = [{"raw": "", "finish": "error"} for _ in rows]
-                else:
-                    error = None
-                yield pd.DataFrame({"key": part["key"], "raw": [g["raw"] for g in got], "finish": [g["finish"] for g in got], "attempts": tries, "error": error})
-
-    kind = dict(jobs.dtypes)[key]
-    given = jobs.select(F.col(key).alias("key"), F.col(prompt).alias("prompt"), F.col(seed).cast("long").alias("seed"))
-    out = given.mapInPandas(run, f"key {kind}, raw string, finish string, attempts int, error string")
-    return out.withColumnRenamed("key", key)
+    given = jobs.drop(*(n for n, _ in ANSWER), "attempts")
+    columns = given.columns
+    options = {k: v for k, v in settings.options.items() if v is not None}
+
+    def call(rows: list[dict]) -> tuple[list[dict], int]:
+        for tries in range(1, settings.retries + 2):
+            pause = settings.backoff * (tries - 1) + (1 / settings.rate if settings.rate else 0)
+            if pause:
+                time.sleep(pause)
+            try:
+                return backend.complete(rows), tries
+            except Retry as e:
+                problem = str(e)[:200]
+        return [{"raw": "", "finish": "error", "error": problem}] * len(rows), tries
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, settings.rows):
+                own = batch.slice(at, settings.rows)
+                prompts, seeds = own.column(own.num_columns - 2).to_pylist(), own.column(own.num_columns - 1).to_pylist()
+                most = [{"max_tokens": n} for n in own.column("max_tokens").to_pylist()] if "max_tokens" in columns else [{}] * own.num_rows
+                got, tries = call([{"prompt": p, "seed": s, **options, **m} for p, s, m in zip(prompts, seeds, most, strict=True)])
+                more = [pa.array([g.get(n) for g in got], t) for n, t in ANSWER]
+                yield pa.RecordBatch.from_arrays([*own.columns[:-2], *more, pa.array([tries] * len(got), pa.int32())], names=[*columns, *(n for n, _ in ANSWER), "attempts"])
+
+    kinds = ", ".join([*(f"`{c}` {t}" for c, t in given.dtypes), "raw string, finish string, error string, reasoning string, ttft double, latency double, url string, attempts int"])
+    return given.select("*", F.col(prompt).alias("_prompt"), F.col(seed).cast("long").alias("_seed")).mapInArrow(run, kinds)
 
 
 def generate(jobs: DataFrame, done: DataFrame | None, backend: ModelBackend, settings: Settings = Settings(), form: str = "glimmer", pack: Pack = POLISH) -> DataFrame:
     """Raw rows of the jobs that are not done: the job, the cleaned message, its reason or null, ok."""
     left = jobs if done is None else resume(jobs, done)
-    answers = run_model(left.withColumn("prompt", render_system_prompt("system", form)), backend, settings)
-    rows = left.join(answers, "id").withColumn("_c", clean(F.col("raw"), pack))
+    rows = run_model(left.withColumn("prompt", render_system_prompt("system", form)), backend, settings).withColumn("_c", clean(F.col("raw"), pack))
     rows = rows.withColumns({"raw": F.col("_c.raw"), "raw_orig": F.col("_c.raw_orig"), "first": F.col("_c.first")}).drop("_c")
     reason = F.when(F.col("finish") == "error", F.concat(F.lit("błąd: "), F.coalesce("error", F.lit("")))).otherwise(classify(F.col("raw"), F.col("finish"), F.col("first"), F.col("system"), pack))
     return rows.withColumn("reason", reason).withColumns({"ok": F.col("reason").isNull(), "self_answer_suspect": self_answer(F.col("raw"))})
@@ -148,30 +151,11 @@ def ask_jobs(conversations: DataFrame, target: int | None = None, form: str = "v
     return out.filter(F.length("prompt") <= most_chars) if most_chars else out
 
 
-def add_turn(conversations: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
-    """Conversations with question and answer of the same id at the end; those without both stay as they are."""
-    both = questions.select("id", F.col("raw").alias("_q")).join(answers.select("id", F.col("raw").alias("_a")), "id")
-    more = F.concat("messages", F.array(message("user", F.col("_q")), message("assistant", F.col("_a"))))
-    return conversations.join(both, "id", "left").withColumn("messages", F.when(F.col("_q").isNotNull() & F.col("_a").isNotNull(), more).otherwise(F.col("messages"))).drop("_q", "_a")
-
-
-def multi_turn(conversations: DataFrame, backend: ModelBackend, rounds: int, settings: Settings = Settings(), form: str = "v13") -> DataFrame:
-    """Rounds of question and answer for all conversations below their target; each round's result is checkpointed."""
-    c = conversations
-    for _ in range(rounds):
-        jobs = ask_jobs(c, form=form)
-        questions = run_model(jobs, backend, settings)
-        prompts = jobs.join(questions.select("id", "raw"), "id").withColumn("prompt", F.concat("prompt", "raw"))
-        c = add_turn(c, questions, run_model(prompts, backend, settings)).checkpoint()
-    return c
-
-
-def expand_urls(spec: str) -> list[str]:
-    """a,b is a list; http://host:6001-6003 is one address for each port."""
-    out = []
-    for part in (p.strip() for p in spec.split(",")):
-        if m := re.fullmatch(r"(.*:)(\d+)-(\d+)/?", part):
-            out += [m[1] + str(p) for p in range(int(m[2]), int(m[3]) + 1)]
-        elif part:
-            out.append(part.rstrip("/"))
-    return out
+def instances(specs: DataFrame, spec: str = "spec") -> DataFrame:
+    """url: the addresses of a comma-separated list, in order; an address that ends with a range of ports stands for one of each port."""
+    parts = specs.select(F.explode(F.split(spec, ",")).alias("part")).select(F.rtrim(F.trim("part"), F.lit("/")).alias("part")).filter("part <> ''")
+    ends = F.regexp_extract_all("part", F.lit(r"(\d+)"))
+    ports = F.sequence(F.element_at(ends, -2).cast("int"), F.element_at(ends, -1).cast("int"))
+    base = F.regexp_replace("part", F.lit(r"\d+-\d+$"), F.lit(""))
+    each = F.when(F.col("part").rlike(r":\d+-\d+$"), F.transform(ports, lambda p: F.concat(base, p.cast("string")))).otherwise(F.array("part"))
+    return parts.select(F.explode(each).alias("url"))

@@ -94,3 +94,19 @@ def iterations(bins: int, batch: int, eval_batches: int = 0) -> int:
     if eval_batches * batch > bins:
         raise ValueError("evaluation needs more bins than there are")
     return -(-bins // batch)
+
+
+def concatenated(records: DataFrame, group: str, order: str, tokens: str = "tokens") -> DataFrame:
+    """group, tokens, positions, records: the records of each group (a batch, bounded by its budget) end to end, positions from 0 in each."""
+    parts = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(tokens).alias("t"))))
+    own = records.groupBy(group).agg(parts.alias("p"))
+    places = F.flatten(F.transform("p", lambda x: F.when(F.size(x.t) > 0, F.sequence(F.lit(0), F.size(x.t) - 1)).otherwise(F.array().cast("array<int>"))))
+    return own.select(group, F.flatten(F.transform("p", lambda x: x.t)).alias("tokens"), places.alias("positions"), F.size("p").alias("records"))
+
+
+def checked_iterations(totals: DataFrame, expected: int, bins: int, batch: int, eval_batches: int = 0) -> int:
+    """iterations, after the totals' records (one row) have been found to be as many as expected (0: not checked)."""
+    have = totals.agg(F.sum("records")).first()[0] or 0
+    if expected and have != expected:
+        raise ValueError(f"{have} records, not {expected}")
+    return iterations(bins, batch, eval_batches)

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.plans import conversations, messages, tokens
+from palimpsest.plans import answers, conversations, messages, tokens
 
 FLAGSHIP = "q_normalize_dedup"
-QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = messages.QUERIES | conversations.QUERIES | tokens.QUERIES
+QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = messages.QUERIES | conversations.QUERIES | tokens.QUERIES | answers.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

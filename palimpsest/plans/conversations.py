@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions import conversation as c
-from palimpsest.functions.rules import classify
-from palimpsest.functions.similar import ratio, think_mode
-from palimpsest.functions.text import first_line, normalize, sha256, shingles
+from palimpsest.functions.similar import ratio, repeats_question, think_mode
+from palimpsest.functions.text import normalize, sha256, shingles
 from palimpsest.operators import enrich, generate, sample
 from palimpsest.plans.messages import table
 
@@ -88,8 +87,11 @@ _sh = lambda w: f"CASE WHEN len({w}) >= 8 THEN list_distinct(list_transform(rang
 
 
 def q_similarity(spark, d):
-    m = nested(spark, d).select("conv_id", F.filter("messages", lambda x: x.role == "user").alias("u")).filter(F.size("u") >= 2)
-    return m.select("conv_id", ratio(normalize(F.get("u", 1).content), normalize(F.get("u", 0).content)).alias("ratio"))
+    """Whether each user turn after the first repeats any earlier one, and the greatest ratio among them."""
+    m = nested(spark, d).select("conv_id", F.transform(F.filter("messages", lambda x: x.role == "user"), lambda x: x.content).alias("u"))
+    each = m.select("conv_id", "u", F.posexplode("u").alias("turn", "text")).filter("turn > 0").select("conv_id", "turn", "text", F.slice("u", F.lit(1), F.col("turn")).alias("earlier"))
+    best = each.select("conv_id", "turn", "text", F.explode("earlier").alias("old")).groupBy("conv_id", "turn").agg(F.max(ratio(normalize("text"), normalize("old"))).alias("ratio"))
+    return each.select("conv_id", "turn", repeats_question(F.col("text"), F.col("earlier")).alias("repeats")).join(best, ["conv_id", "turn"])
 
 
 def q_enrich(spark, d):
@@ -122,11 +124,6 @@ def q_generated(spark, d):
     return generate.finalize_generation(raw).select("id", "raw", "topic")
 
 
-def q_first_lines(spark, d):
-    rows = table(spark, d, "conversations")
-    return rows.select("conv_id", "turn", first_line("text").alias("first"), classify(F.col("text"), F.lit("stop"), first_line("text")).alias("reason"))
-
-
 QUERIES = {
     "q_render_history": (q_render_history, f"{NESTED} SELECT conv_id, " + ", ".join(f"sha256({_form_sql(f)}) AS {f}" for f in c.FORMATS) + " FROM n"),
     "q_render_judge": (q_render_judge, f"{NESTED} SELECT conv_id, {_judge_sql(True)} AS thought, {_judge_sql(False)} AS plain FROM n"),
@@ -148,5 +145,4 @@ QUERIES = {
     "q_models": (q_models, "SELECT DISTINCT conv_id, CASE WHEN conv_id % 2 = 0 THEN 'x,y,b' ELSE 'a,b' END AS models FROM conversations"),
     "q_jobs": (q_jobs, None),
     "q_generated": (q_generated, None),
-    "q_first_lines": (q_first_lines, None),
 }

@@ -26,7 +26,7 @@ def read(spark: SparkSession, path: str | list[str], schema: StructType | str, l
 
 def read_prioritized(spark: SparkSession, paths: list[str], schema: StructType | str) -> DataFrame:
     """Several inputs; earlier ones have priority. source is the name of the folder of each."""
-    return union_prioritized({PurePosixPath(p).parent.name or p: read(spark, p, schema) for p in paths})
+    return union_prioritized([(PurePosixPath(p).parent.name or p, read(spark, p, schema)) for p in paths])
 
 
 def accepted(df: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@ import itertools
 import json
 import random
 import statistics
+import threading
+import time
 from difflib import SequenceMatcher
 from fractions import Fraction
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import numpy as np
 import pytest
@@ -12,8 +15,8 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions import conversation as c
 from palimpsest.functions import rules, similar, stats, text
-from palimpsest.operators import attempts, dedup, enrich, generate, judge, report, sample, tokens
-from palimpsest.sources import jsonl, token_shards
+from palimpsest.operators import attempts, checks, dedup, dialogue, enrich, generate, judge, report, sample, tokens
+from palimpsest.sources import http_models, jsonl, token_shards
 from palimpsest.streaming import runs
 
 
@@ -231,14 +234,142 @@ def test_model_calls(spark):
     assert len(got) == 8 and got[3].finish == "error" and got[3].attempts == 2 and got[3].error == "down" and got[4].finish == "stop"
     a = generate.build_jobs(spark, 50, 1, 2, 3)
     assert sorted(a.collect()) == sorted(a.repartition(5).collect()) and {len(r.subtopics) for r in a.collect()} == {2, 3}
-    assert generate.expand_urls("http://a:1-3, http://b/") == ["http://a:1", "http://a:2", "http://a:3", "http://b"]
+    specs = spark.createDataFrame([("http://a:1-3, http://b/",)], "spec string")
+    assert [r.url for r in generate.instances(specs).collect()] == ["http://a:1", "http://a:2", "http://a:3", "http://b"]
 
 
-def test_multi_turn(spark):
-    m = [("system", "S", None), ("user", "U", None), ("assistant", "A", None)]
-    df = spark.createDataFrame([("x", m, 2), ("y", m, 3), ("z", m[1:], 3)], f"id string, messages array<{c.MESSAGE}>, target_turns int")
-    got = {r.id: len(r.messages) for r in generate.multi_turn(df, generate.Offline(), 2).collect()}
-    assert got == {"x": 5, "y": 7, "z": 2}
+def test_dialogue(spark):
+    class Asker:
+        """A question from the seed, so that each call differs; none good for prompts with 'bad', errors for 'down'."""
+
+        def complete(self, rows):
+            if any("down" in r["prompt"] for r in rows):
+                raise generate.Retry("down")
+            return [{"raw": "" if "bad" in r["prompt"] else f"Jak {''.join(chr(97 + int(x, 16)) for x in f'{r['seed'] * 2654435761 % 16**16:016x}' * 3)} działa nazwa {r['seed'] % 9973}?", "finish": "stop"} for r in rows]
+
+    class Answerer:
+        """Names the question that it was asked; cut off while the seed is odd for prompts with 'cut'."""
+
+        def complete(self, rows):
+            return [{"raw": "Odpowiedź na " + r["prompt"].split("nazwa ")[-1].split("?")[0], "finish": "length" if "cut" in r["prompt"] else "stop"} for r in rows]
+
+    m = lambda s: [("system", s, None), ("user", "U", None), ("assistant", "A", None)]
+    rows = [("x", m("S"), 2), ("y", m("S"), 3), ("z", m("S")[1:], 3), ("bad", m("bad"), 3), ("down", m("down"), 3), ("cut", m("cut"), 3), ("long", m("l" * 20000), 3)]
+    df = spark.createDataFrame([(*r, ["one"]) for r in rows], f"id string, messages array<{c.MESSAGE}>, target_turns int, models array<string>")
+    got = {r.id: r for r in dialogue.converse(df, Asker(), Answerer(), "dir/model", settings=generate.Settings(retries=0, rows=1)).collect()}
+    assert {k: (r.turns, r.ok, r.finish, r.stage, r.reason) for k, r in got.items()} == {
+        "x": (2, True, "stop", "koniec", None), "y": (3, True, "stop", "koniec", None), "z": (1, True, "stop", "koniec", None), "bad": (1, False, "stop", "pytanie", "puste"),
+        "down": (1, False, "error", "pytanie", "błąd: down"), "cut": (1, False, "stop", "odpowiedź", "ucięte"), "long": (1, False, "stop", "pytanie", "za długa historia"),
+    }
+    assert got["y"].models == ["one", "model", "model"] and got["y"].tries == [1, 1] and got["cut"].tries == [1]
+    for i in (3, 5):  # the answer belongs to the question that is stored
+        assert got["y"].messages[i].content.endswith(f"działa nazwa {got['y'].messages[i + 1].content.split()[-1]}?")
+    assert got["y"].messages[3].content != got["y"].messages[5].content
+    kept = dialogue.finished(spark.createDataFrame([(1, "stop", 2, m("S")), (2, "error", 3, m("S")), (3, "stop", 1, m("S"))], f"id int, finish string, turns int, messages array<{c.MESSAGE}>"), False).collect()
+    assert [(r.id, len(r.messages)) for r in kept] == [(1, 2)]
+
+
+def test_http_models(spark):
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def log_message(self, *a):
+            pass
+
+        def reply(self, status, kind, body):
+            self.send_response(status)
+            self.send_header("Content-Type", kind)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def do_GET(self):
+            self.reply(200, "application/json", json.dumps({"data": [{"id": "dir/m", "max_model_len": 4096}, {"id": "n"}]}).encode())
+
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            asked.append((self.path, body))
+            if self.path.startswith("/down"):
+                return self.reply(500, "text/plain", b"down")
+            if body.get("prompt") == "refuse":
+                return self.reply(400, "text/plain", b"too long")
+            if "systemone" in self.path:
+                return self.reply(200, "application/json", json.dumps({"answers": {"q": {"noul": 0.25}}}).encode())
+            if body.get("prompt") == "slow":
+                time.sleep(1.5)
+            if "chat" in self.path:
+                parts = [{"delta": {"reasoning_content": "bo"}}, {"delta": {"content": "tak"}}, {"delta": {}, "finish_reason": "stop"}]
+            else:
+                parts = [{"text": "a"}, {"text": "b", "finish_reason": "length"}]
+            lines = [b": hello\n", *(b"data: " + json.dumps({"choices": [p]}).encode() + b"\n\n" for p in parts), b"data: [DONE]\n", b"data: broken"]
+            self.reply(200, "text/event-stream", b"".join(lines))
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}"
+    try:
+        assert http_models.models(url) == [("dir/m", 4096), ("n", None)]
+        one = http_models.Server((f"{url}/down", url), model="m", options={"top_p": 0.5})
+        ok, refused = one.complete([{"prompt": "x", "seed": 2}, {"prompt": "refuse", "seed": 1}])
+        assert (ok["raw"], ok["finish"], ok["url"]) == ("ab", "length", url) and ok["ttft"] <= ok["latency"]
+        assert refused["finish"] == "rejected" and refused["error"] == "HTTP 400: too long"
+        assert [p for p, _ in asked] == ["/down/completions", "/completions", "/completions"] and asked[1][1] == {"model": "m", "stream": True, "top_p": 0.5, "prompt": "x", "seed": 2}
+        again = http_models.Server((url,), retries=1, refusal_is_final=False).complete([{"prompt": "refuse", "seed": 0}])[0]
+        assert again["finish"] == "error" and [p for p, _ in asked][3:] == ["/completions"] * 2
+        for limits in (http_models.Timeouts(first=0.3), http_models.Timeouts(total=0.3)):
+            assert http_models.Server((url,), retries=0, timeouts=limits).complete([{"prompt": "slow"}])[0]["finish"] == "error"
+        chat = http_models.Chat((url,)).complete([{"prompt": json.dumps([{"role": "user", "content": "x"}]), "seed": 0}, {"prompt": "plain"}])
+        assert [(r["raw"], r["reasoning"], r["finish"]) for r in chat] == [("tak", "bo", "stop")] * 2 and asked[-1][1]["messages"] == [{"role": "user", "content": "plain"}]
+        jobs = spark.createDataFrame([(1, '{"state": "s"}', 0)], "id int, prompt string, seed int")
+        judged = generate.run_model(jobs, http_models.Judge((url,))).first()
+        assert json.loads(judged.raw) == {"q": {"noul": 0.25}} and judged.finish == "stop" and judged.url == url
+    finally:
+        server.shutdown()
+
+
+def test_checks(spark):
+    df = spark.createDataFrame([(1, "a")], "x int, y string")
+    assert checks.expect_count(df, 0) is df and checks.expect_count(df, 1) is df and checks.expect_columns(df, ["x"], more=True) is df
+    for wrong in (lambda: checks.expect_count(df, 2), lambda: checks.expect_columns(df, ["x"]), lambda: checks.expect_columns(df, ["x", "y", "z"], more=True)):
+        with pytest.raises(ValueError):
+            wrong()
+    turns = spark.createDataFrame([([("system", "S", None), ("user", "U", None), ("assistant", "A", None)],)], f"messages array<{c.MESSAGE}>")
+    assert checks.expect_turns(turns) is turns
+    with pytest.raises(ValueError):
+        checks.expect_turns(turns.selectExpr("slice(messages, 2, 2) AS messages"))
+    with pytest.raises(ValueError):
+        tokens.checked_iterations(spark.createDataFrame([(5,)], "records long"), 6, 10, 4)
+    assert tokens.checked_iterations(spark.createDataFrame([(5,)], "records long"), 5, 10, 4) == 3
+
+
+def test_inputs_of_one_folder_are_two(spark, tmp_path):
+    for name, rows in (("a", ["1", "2"]), ("b", ["2", "3"])):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"x": r}) for r in rows) + "\n")
+    got = jsonl.read_prioritized(spark, [str(tmp_path / "b.jsonl"), str(tmp_path / "a.jsonl")], "x string").collect()
+    assert sorted((r.x, r.priority, r.source) for r in got) == [("1", 1, tmp_path.name), ("2", 0, tmp_path.name), ("2", 1, tmp_path.name), ("3", 0, tmp_path.name)]
+
+
+def test_shards_of_one_name_and_sinks(spark, tmp_path):
+    for k, folder in enumerate(("d1", "d2")):
+        (tmp_path / "s" / folder).mkdir(parents=True)
+        for kind, data in (("tok", np.array([k, 7], "<u2")), ("mask", np.array([1, 1], np.uint8)), ("off", np.array([0, 2], "<u8"))):
+            (tmp_path / "s" / folder / f"a.{kind}").write_bytes(data.tobytes())
+    got = token_shards.records(spark, str(tmp_path / "s"), (".tok", ".mask", ".off"))
+    assert sorted((r.prefix, r.tokens) for r in got.collect()) == [("d1/a", [0, 7]), ("d2/a", [1, 7])]
+    top = spark.createDataFrame([(0, 0, 0, [(-0.5, 3), (-1.0, 9)]), (1, 1, 0, [(-0.25, 4), (-2.0, 5)])], "chunk int, record long, position int, top array<struct<logp:double,id:int>>")
+    out, marks = str(tmp_path / "top"), str(tmp_path / "marks")
+    assert token_shards.not_done(top.select("chunk"), marks).count() == 2
+    token_shards.write_topk(top, out, 2)
+    token_shards.write_topk(top.filter("chunk = 1"), out, 2)
+    assert sorted((r.chunk, r.ids) for r in spark.read.parquet(out).collect()) == [(0, [3, 9]), (1, [4, 5])]
+    with pytest.raises(PySparkException):
+        token_shards.write_topk(top, str(tmp_path / "no"), 3)
+    token_shards.mark_done(top.filter("chunk = 0").selectExpr("chunk", "1 AS records"), marks)
+    assert [r.chunk for r in token_shards.not_done(top.select("chunk"), marks).collect()] == [1]
+    shards = spark.createDataFrame([("b", "valid", 2, 9), ("a", "train", 3, 8), ("c", "train", 0, 0)], "prefix string, split string, records long, tokens long")
+    token_shards.write_manifest(shards, str(tmp_path / "m"))
+    one = spark.read.json(str(tmp_path / "m")).first()
+    assert (one.totals.records, one.totals.tokens, [s.prefix for s in one.shards]) == (5, 17, ["a", "b", "c"])
+    assert [r.prefix for r in token_shards.manifest(spark, str(tmp_path / "m")).collect()] == ["a", "b"]
 
 
 def test_stream_resumes(spark, tmp_path):
@@ -250,6 +381,11 @@ def test_stream_resumes(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(9))
 
 
-def test_report():
-    box = report.table([{"a": 1, "b": None}, {"a": 22, "b": "x"}]).split("\n")
-    assert len({len(x) for x in box}) == 1 and "22" in box[4]
+def test_report(spark):
+    df = spark.createDataFrame([("x", None, 7), ("long name", "y", 1234)], "name string, note string, n int")
+    assert [r.line for r in report.boxed(df, ["name"]).collect()] == [
+        "┌───────────┬──────┬──────┐", "│ name      │ note │    n │", "├───────────┼──────┼──────┤",
+        "│ long name │ y    │ 1234 │", "│ x         │      │    7 │", "└───────────┴──────┴──────┘",
+    ]
+    calls = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 2.0)], "url string, latency double")
+    assert {r.url: (r.requests, r.seconds, r.eta_seconds) for r in report.progress(calls, total=6).collect()} == {"a": (2, 4.0, 4.0), "b": (1, 2.0, 2.0)}
