@@ -115,10 +115,11 @@ def quality(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """
     given = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("\x00")).alias("lang"), *keep)
     common = written(common_words(given))
-    rows = given.join(small(common.withColumnRenamed("words", "top")), "lang", "left")
+    top = common.select("lang", F.col("words").alias("top"), F.array_max(F.transform("words", F.length)).alias("longest"))
+    rows = given.join(small(top), "lang", "left")
     letters = F.array_remove(F.split(F.lower("text"), NO_LETTER, -1), "")
-    rows = rows.select("doc_id", *keep, "lang", "text", "top", letters.alias("letters"))
-    rows = rows.select("doc_id", *keep, "lang", "text", "top", F.size("letters").alias("letters"), F.filter("letters", lambda x: F.array_contains("top", x)).alias("held"))
+    rows = rows.select("doc_id", *keep, "lang", "text", "top", "longest", letters.alias("letters"))
+    rows = rows.select("doc_id", *keep, "lang", "text", "top", F.size("letters").alias("letters"), F.filter("letters", lambda x: (F.length(x) <= F.col("longest")) & F.array_contains("top", x)).alias("held"))
     hits = F.transform("top", lambda t: F.size("held") - F.size(F.array_remove("held", t)))
     rows = rows.select("doc_id", *keep, "lang", "text", "letters", F.coalesce(hits, F.array().cast("array<int>")).alias("hits"))
     facts = counted(rows)
