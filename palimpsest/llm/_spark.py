@@ -28,10 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, codec: str | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, and lost executors cost no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

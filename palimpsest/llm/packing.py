@@ -12,29 +12,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm._bpe import transducer
-from palimpsest.llm._spark import load
+from palimpsest.llm._spark import load, written
 from palimpsest.llm.token_counts import VOCABULARY, vocabulary_path
 
 LENGTH, END_ID = 1024, 0
 #: Documents in one shard of the index (the last shard of a task has fewer); a shard ends early at SHARD_TOKENS.
 SHARD_DOCS, SHARD_TOKENS = 512, 1 << 20
 K1, B = 1.2, 0.75
+#: Documents drawn by hash that route all documents to shards, and how many of them, by falling score, make a route.
+LEADERS, ROUTE = 64, 4
+
+
+class Corpus:
+    """Statistics of a collection: idf of each term and mean length, from document frequencies and totals."""
+
+    def __init__(self, term: np.ndarray, df: np.ndarray, n: int, tokens: int):
+        self.idf = np.zeros(int(term.max(initial=0)) + 1)
+        self.idf[term] = np.log1p((n - df + 0.5) / (df + 0.5))
+        self.mean = max(tokens / max(n, 1), 1)
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray]) -> Corpus:
+        term, df = np.unique(occurrences(docs)[1], return_counts=True)
+        return cls(term, df, len(docs), sum(map(len, docs)))
+
+    def weights(self, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """BM25 weight of a term that occurs tf times in a document of that length."""
+        return self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.mean))
+
+
+def occurrences(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, term and frequency of each term of each document, in this order, and the documents' lengths."""
+    length = np.fromiter(map(len, docs), np.int64, len(docs))
+    flat = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
+    key, tf = np.unique((np.repeat(np.arange(len(docs), dtype=np.int64), length) << 32) | flat, return_counts=True)
+    return key >> 32, key & 0xFFFFFFFF, tf, length
 
 
 class Bm25:
-    """Inverted index of one shard: for each term its documents and their BM25 weights."""
+    """Inverted index of one shard: for each term its documents and their BM25 weights in the whole collection."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus):
         self.n = len(docs)
-        length = np.fromiter(map(len, docs), np.int64, self.n)
-        owner = np.repeat(np.arange(self.n, dtype=np.int64), length)
-        key, tf = np.unique(np.concatenate(docs).astype(np.int64) * self.n + owner, return_counts=True)
-        term, self.doc = key // self.n, key % self.n
+        doc, term, tf, length = occurrences(docs)
+        o = np.argsort(term, kind="stable")
+        self.doc, term = doc[o], term[o]
+        self.weight = corpus.weights(term, tf[o], length[self.doc])
         first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
         df = np.diff(np.append(first, len(term)))
-        idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
-        norm = tf + K1 * (1 - B + B * length[self.doc] / max(length.mean(), 1))
-        self.weight = np.repeat(idf, df) * tf * (K1 + 1) / norm
         # postings of a document's terms: by document, the numbers of its terms' postings
         self.first, self.df = first, df
         number = np.repeat(np.arange(len(first)), df)
@@ -50,14 +75,14 @@ class Bm25:
         return np.bincount(self.doc[place], self.weight[place], self.n)
 
 
-def pack_shard(docs: list[np.ndarray], length: int) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(docs: list[np.ndarray], length: int, corpus: Corpus) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of one shard, in order of sequence and offset.
 
     Each unused document in turn is a seed; its unused neighbours follow by falling score (ties: the earlier
     document) until the window is full.  A document that does not fit whole is cut, and its rest opens the
     next window.  So only the last sequence of a shard has room left.
     """
-    index, unused = Bm25(docs), np.ones(len(docs), bool)
+    index, unused = Bm25(docs, corpus), np.ones(len(docs), bool)
     out: list[tuple[int, int, int, int, int]] = []
     sequence, filled = 0, 0
 
@@ -75,49 +100,139 @@ def pack_shard(docs: list[np.ndarray], length: int) -> list[tuple[int, int, int,
         return sequence > before
 
     seed = 0
-    while seed >= 0:
-        put(seed)
-        if filled:  # else its tokens ended with a window: the next seed opens one of its own
-            order = np.argsort(-index.scores(seed), kind="stable")
-            last = -1
-            for d in order[unused[order]].tolist():
-                last = d
-                if put(d):
-                    break
-            if filled and last >= 0 and unused.any():
-                seed_rest = last  # the cut document's rest is the seed of the open window
-                order = np.argsort(-index.scores(seed_rest), kind="stable")
-                left = order[unused[order]]
-                seed = int(left[0]) if len(left) else -1
-                continue
-        left = np.flatnonzero(unused)
-        seed = int(left[0]) if len(left) else -1
+    while unused.any():
+        if not filled:  # no document is open: the first unused one is the next seed
+            seed = int(np.flatnonzero(unused)[0])
+            put(seed)
+            continue
+        order = np.argsort(-index.scores(seed), kind="stable")
+        for d in order[unused[order]].tolist():
+            if put(d):
+                seed = d
+                break
     return out
 
 
+class Router:
+    """Orders documents so that those which score high for the same leaders follow each other."""
+
+    def __init__(self, leaders: list[tuple[np.ndarray, np.ndarray]], corpus: Corpus):
+        """leaders: terms and their frequencies of each."""
+        self.corpus = corpus
+        self.holds = np.zeros((len(corpus.idf), len(leaders)), np.float32)
+        own = np.ones(len(leaders))
+        for j, (term, tf) in enumerate(leaders):
+            self.holds[term, j] = 1
+            own[j] = max(corpus.weights(term, tf, tf.sum()).sum(), 1e-9)
+        self.own = own
+
+    def routes(self, docs: list[np.ndarray]) -> np.ndarray:
+        """The ROUTE leaders with the highest share of their own score (ties: the earlier), as one number a document."""
+        doc, term, tf, length = occurrences(docs)
+        w = self.corpus.weights(term, tf, length[doc]).astype(np.float32)
+        cut = np.searchsorted(doc, np.arange(len(docs) + 1))
+        scores = np.array([w[a:b] @ self.holds[term[a:b]] for a, b in zip(cut[:-1], cut[1:], strict=True)]).reshape(len(docs), -1)
+        out = np.zeros(len(docs), np.int64)
+        best = np.argsort(-scores / self.own, axis=1, kind="stable")[:, :ROUTE]
+        for k in range(best.shape[1]):
+            out = out * LEADERS + best[:, k]
+        return out
+
+
+def some(batches: Iterator[pa.RecordBatch], of: str, kind: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of the batches of about a million tokens, with their documents' ids; a longer document is a slice of its own."""
+    for batch in batches:
+        docs = [np.frombuffer(x, kind) for x in batch.column(of).to_pylist()]
+        at, tokens = 0, 0
+        for i, d in enumerate(docs):
+            if i > at and tokens + len(d) > SHARD_TOKENS:
+                yield batch.slice(at, i - at), docs[at:i]
+                at, tokens = i, 0
+            tokens += len(d)
+        if at < len(docs):
+            yield batch.slice(at), docs[at:]
+
+
+def statistics(encoded: DataFrame, kind: str) -> Corpus:
+    """Document frequencies, number and mean length of all documents; a row for each term reaches the driver."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = np.zeros(1, np.int64), 0, 0
+        for _, docs in some(batches, "_ids", kind):
+            more = np.bincount(occurrences(docs)[1])
+            df = np.pad(df, (0, max(0, len(more) - len(df))))
+            df[: len(more)] += more
+            n, tokens = n + len(docs), tokens + sum(map(len, docs))
+        term = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(term, [-1, -2])), pa.array(np.append(df[term], [n, tokens]))], names=["term", "df"])
+
+    rows = np.array(encoded.select("_ids").mapInArrow(partial, "term long, df long").groupBy("term").agg(F.sum("df")).collect(), np.int64).reshape(-1, 2)
+    total, rows = dict(rows[rows[:, 0] < 0].tolist()), rows[rows[:, 0] >= 0]
+    return Corpus(rows[:, 0], rows[:, 1], total.get(-1, 0), total.get(-2, 0))
+
+
+def leaders(encoded: DataFrame, kind: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Terms and frequencies of LEADERS different texts, drawn by hash; at most LEADERS vocabularies reach the driver."""
+    marked = encoded.select("_ids", F.xxhash64("_ids").alias("h"))
+    drawn = [r.h for r in marked.select("h").distinct().orderBy("h").limit(LEADERS).collect()]
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, docs in some(batches, "_ids", kind):
+            doc, term, tf, _ = occurrences(docs)
+            yield pa.RecordBatch.from_arrays([part.column("h").take(pa.array(doc)), pa.array(term), pa.array(tf)], names=["h", "term", "tf"])
+
+    found: dict[int, list] = {h: [] for h in drawn}
+    for h, term, tf in marked.filter(F.col("h").isin(drawn)).mapInArrow(terms, "h long, term long, tf long").distinct().orderBy("h", "term").collect() if drawn else []:
+        found[h].append((term, tf))
+    return [tuple(np.array(x, np.int64).T) for x in found.values()]
+
+
 def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """Pieces of documents in sequences of `length` tokens, related documents next to each other.
 
     Result, a row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and the ids
     themselves (array of int).  Every document's ids (the file's, then END_ID) lie in pieces, each id in one.
-    The index is sharded: each task reads its own rows, shard_docs documents at a time, so nothing is
-    shuffled, memory is bounded, and a third of the rows in one source or group of copies changes nothing.
-    Only the last sequence of a shard is not full; it is to be padded.
+
+    The index is sharded by content.  Document frequencies, number and mean length are those of all documents.
+    Each document is scored against LEADERS of them (a bounded sample, drawn by hash), and all are sorted by the
+    leaders that suit them best: a shard is shard_docs documents that follow each other there, wherever they
+    stood in the input, and returns the neighbours of its seeds.  A seed's neighbours in other shards are not
+    found.  The sort is by range and ends with a hash and the row's number, so a third of the rows in
+    one source or group of copies is dealt over as many tasks as it needs; ids are written once and shuffled
+    once.  Only the last sequence of a shard is not full; it is to be padded.
 
     A null or empty text is one END_ID.  Repeated rows are packed as often as they occur; ties in score go to
-    the earlier row.  Other columns are ignored; an empty table gives no pieces.
+    the earlier row of the shard.  Other columns are ignored; an empty table gives no pieces.
     """
+    spark, id_type = docs.sparkSession, dict(docs.dtypes)["doc_id"]
+    kind = "<u2" if transducer(path).width <= 1 << 16 else "<u4"
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, row = transducer(path), TaskContext.get().partitionId() << 33
+        for batch in batches:
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            for at in range(0, len(texts), 256):
+                ids = [np.append(x, END_ID).astype(kind).tobytes() for x in t.encode(texts[at : at + 256])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(ids, pa.binary()), pa.array(np.arange(row, row + len(ids)))], names=["doc_id", "_ids", "_row"])
+                row += len(ids)
+
+    encoded = written(docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {id_type}, _ids binary, _row long"), "zstd")
+    corpus = spark.sparkContext.broadcast(statistics(encoded, kind))
+    router = spark.sparkContext.broadcast(Router(leaders(encoded, kind), corpus.value))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, own in some(batches, "_ids", kind):
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(router.value.routes(own))], names=[*part.schema.names, "_route"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = transducer(path)
-        base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
+        base = TaskContext.get().partitionId() << 33
         keys: list = []
         docs: list[np.ndarray] = []
         tokens = 0
 
         def shard() -> pa.RecordBatch:
             nonlocal base, keys, docs, tokens
-            pieces = pack_shard(docs, length)
+            pieces = pack_shard(docs, length, corpus.value)
             d, start, n, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
             ids = [docs[i][a : a + m] for i, a, m, _, _ in pieces]
             crc = np.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], np.int64)
@@ -131,19 +246,19 @@ def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs:
 
         for batch in batches:
             key_type = batch.column(0).type
-            texts, names = [x or "" for x in batch.column(1).to_pylist()], batch.column(0).to_pylist()
-            for at in range(0, len(texts), 256):
-                for key, ids in zip(names[at : at + 256], t.encode(texts[at : at + 256]), strict=True):
-                    keys.append(key)
-                    docs.append(np.append(ids, np.uint32(END_ID)))
-                    tokens += len(docs[-1])
-                    if len(docs) == shard_docs or tokens >= SHARD_TOKENS:
-                        yield shard()
+            for key, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keys.append(key)
+                docs.append(np.frombuffer(ids, kind).astype(np.uint32))
+                tokens += len(docs[-1])
+                if len(docs) == shard_docs or tokens >= SHARD_TOKENS:
+                    yield shard()
         if docs:
             yield shard()
 
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    order = ["_route", "_hash", "_row"]
+    routed = encoded.mapInArrow(route, f"doc_id {id_type}, _ids binary, _row long, _route long").withColumn("_hash", F.xxhash64("_ids"))
+    schema = f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
+    return routed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "_ids").mapInArrow(run, schema)
 
 
 def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,12 +229,78 @@ def test_neighbours_follow_their_seed():
 
     rng = np.random.default_rng(1)
     docs = [rng.integers(100 * t, 100 * t + 40, 90).astype(np.uint32) for t in (0, 1, 2) * 10]
-    pieces = packing.pack_shard(docs, 900)
+    pieces = packing.pack_shard(docs, 900, packing.Corpus.of(docs))
     first = [d for d, _, _, s, _ in pieces if s == 0]
     assert {d % 3 for d in first} == {0}
     assert sorted(sum((list(range(a, a + n)) for d, a, n, _, _ in pieces if d == 4), [])) == list(range(90))
 
 
+def plain_bm25(docs, n, df, mean):
+    """Scores of every document for every document's terms, by the formula."""
+    import math
+
+    def score(q, d):
+        return sum(math.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * d.count(t) * 2.2 / (d.count(t) + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in set(q) if t in d)
+
+    return [[score(q, d) for d in docs] for q in docs]
+
+
+def test_index_scores_equal_plain_bm25():
+    from collections import Counter
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    everywhere = [rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint32) for _ in range(60)]
+    corpus, shard = packing.Corpus.of(everywhere), everywhere[10:30]
+    df = Counter(t for d in everywhere for t in set(d.tolist()))
+    want = plain_bm25([d.tolist() for d in shard], 60, df, sum(map(len, everywhere)) / 60)
+    index = packing.Bm25(shard, corpus)
+    for i in range(len(shard)):
+        assert np.allclose(index.scores(i), want[i])
+
+
+def test_packing_follows_the_plain_greedy_fill():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 500, rng.integers(1, 300)).astype(np.uint32) for _ in range(40)]
+    corpus, length = packing.Corpus.of(docs), 256
+    score = [packing.Bm25(docs, corpus).scores(i) for i in range(40)]
+    order, left, seed, filled = [], set(range(40)), 0, 0
+    while left:  # the next document is the seed's best unused neighbour; a cut document is the next seed, else the first unused one
+        d = min(left, key=lambda i: (-score[seed][i], i)) if filled else min(left)
+        seed = seed if filled else d
+        order.append(d)
+        left.remove(d)
+        if filled + len(docs[d]) >= length:
+            seed = d
+        filled = (filled + len(docs[d])) % length
+    got = packing.pack_shard(docs, length, corpus)
+    assert [d for d, start, *_ in got if start == 0] == order
+    assert [(s, o) for _, _, _, s, o in got] == [divmod(x, length) for x in np.cumsum([0, *(n for _, _, n, _, _ in got)])[:-1].tolist()]
+
+
+def test_routes_bring_topics_together(spark):
+    from itertools import product
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    words = ["".join(w) for w in product("abc", repeat=4)]
+    topics = [[w.translate(str.maketrans("abc", letters)) for w in words] for letters in ("abc", "def", "ghi", "jkl", "mno", "pqr", "stu", "vwx")]  # no two share a letter
+    library = Tokenizer.from_file(PATH)
+    docs = [np.array([*library.encode(" ".join(topics[i % 8][(i // 8 * 3 + k) % 81] for k in range(25))).ids, 0], np.uint32) for i in range(400)]
+    encoded = spark.createDataFrame([(bytearray(d.astype("<u2").tobytes()),) for d in docs], "_ids binary").repartition(5)
+    corpus, want = packing.statistics(encoded, "<u2"), packing.Corpus.of(docs)
+    assert np.allclose(corpus.idf, want.idf) and corpus.mean == want.mean
+    drawn = packing.leaders(encoded, "<u2")
+    known = {tuple(map(tuple, np.array(np.unique(d, return_counts=True)))) for d in docs}
+    assert len(drawn) == packing.LEADERS and all(tuple(map(tuple, np.array(x))) in known for x in drawn)
+    order = np.argsort(packing.Router(drawn, corpus).routes(docs), kind="stable") % 8
+    assert (np.diff(order) != 0).sum() <= 100  # 399 in the given order, about 350 in a random one
+
+
 def test_token_counts_equal_library(spark, tables):
     from tokenizers import Tokenizer
 
