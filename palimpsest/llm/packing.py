@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm._bpe import transducer
+from palimpsest.llm._bpe import Transducer, transducer
 from palimpsest.llm._spark import load, written
 from palimpsest.llm.token_counts import VOCABULARY, vocabulary_path
 
@@ -19,22 +19,23 @@ LENGTH, END_ID = 1024, 0
 #: Documents in one shard of the index (the last shard of a task has fewer); a shard ends early at SHARD_TOKENS.
 SHARD_DOCS, SHARD_TOKENS = 512, 1 << 20
 K1, B = 1.2, 0.75
-#: Documents drawn by hash that route all documents to shards, and how many of them, by falling score, make a route.
-LEADERS, ROUTE = 64, 4
+#: Different texts drawn by hash for the idf of routing, how many of them are leaders, and how many leaders, by falling score, make a route.
+SAMPLE, LEADERS, ROUTE = 512, 64, 4
+#: A term in one of so many documents of a shard or more has its weights in a dense row.
+DENSE = 8
 
 
 class Corpus:
     """Statistics of a collection: idf of each term and mean length, from document frequencies and totals."""
 
-    def __init__(self, term: np.ndarray, df: np.ndarray, n: int, tokens: int):
-        self.idf = np.zeros(int(term.max(initial=0)) + 1)
-        self.idf[term] = np.log1p((n - df + 0.5) / (df + 0.5))
+    def __init__(self, df: np.ndarray, n: int, tokens: int):
+        """df: of every term, by its number."""
+        self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
         self.mean = max(tokens / max(n, 1), 1)
 
     @classmethod
-    def of(cls, docs: list[np.ndarray]) -> Corpus:
-        term, df = np.unique(occurrences(docs)[1], return_counts=True)
-        return cls(term, df, len(docs), sum(map(len, docs)))
+    def of(cls, docs: list[np.ndarray], width: int = 0) -> Corpus:
+        return cls(np.bincount(occurrences(docs)[1], minlength=width), len(docs), sum(map(len, docs)))
 
     def weights(self, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
         """BM25 weight of a term that occurs tf times in a document of that length."""
@@ -55,24 +56,35 @@ class Bm25:
     def __init__(self, docs: list[np.ndarray], corpus: Corpus):
         self.n = len(docs)
         doc, term, tf, length = occurrences(docs)
-        o = np.argsort(term, kind="stable")
-        self.doc, term = doc[o], term[o]
-        self.weight = corpus.weights(term, tf[o], length[self.doc])
-        first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
+        o = np.argsort(term.astype(np.uint16) if len(corpus.idf) <= 1 << 16 else term, kind="stable")
+        self.doc = doc[o]
+        self.weight = corpus.weights(term[o], tf[o], length[self.doc])
+        first = np.flatnonzero(np.diff(term[o], prepend=-1))
         df = np.diff(np.append(first, len(term)))
         # postings of a document's terms: by document, the numbers of its terms' postings
         self.first, self.df = first, df
-        number = np.repeat(np.arange(len(first)), df)
-        by_doc = np.argsort(self.doc, kind="stable")
-        self.terms, self.cut = number[by_doc], np.searchsorted(self.doc[by_doc], np.arange(self.n + 1))
+        self.terms = np.empty(len(term), np.int64)
+        self.terms[o] = np.repeat(np.arange(len(first)), df)
+        self.cut = np.searchsorted(doc, np.arange(self.n + 1))
+        often = np.flatnonzero(df * DENSE >= self.n)
+        self.row = np.full(len(first), -1)
+        self.row[often] = np.arange(len(often))
+        at = self.row[self.terms[o]]
+        self.dense = np.zeros((len(often), self.n))
+        self.dense[at[at >= 0], self.doc[at >= 0]] = self.weight[at >= 0]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document of the shard for the seed's distinct terms."""
         t = self.terms[self.cut[seed] : self.cut[seed + 1]]
-        n = self.df[t]
-        ends = np.cumsum(n)
-        place = np.arange(ends[-1]) + np.repeat(self.first[t] - (ends - n), n)
-        return np.bincount(self.doc[place], self.weight[place], self.n)
+        row = self.row[t]
+        out = self.dense[row[row >= 0]].sum(axis=0)
+        t = t[row < 0]
+        if len(t):
+            n = self.df[t]
+            ends = np.cumsum(n)
+            place = np.arange(ends[-1]) + np.repeat(self.first[t] - (ends - n), n)
+            out += np.bincount(self.doc[place], self.weight[place], self.n)
+        return out
 
 
 def pack_shard(docs: list[np.ndarray], length: int, corpus: Corpus) -> list[tuple[int, int, int, int, int]]:
@@ -126,65 +138,69 @@ class Router:
             own[j] = max(corpus.weights(term, tf, tf.sum()).sum(), 1e-9)
         self.own = own
 
-    def routes(self, docs: list[np.ndarray]) -> np.ndarray:
-        """The ROUTE leaders with the highest share of their own score (ties: the earlier), as one number a document."""
-        doc, term, tf, length = occurrences(docs)
+    def routes(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The ROUTE leaders with the highest share of their own score (ties: the earlier) as one number, of each of the occurrences' documents."""
         w = self.corpus.weights(term, tf, length[doc]).astype(np.float32)
-        cut = np.searchsorted(doc, np.arange(len(docs) + 1))
-        scores = np.array([w[a:b] @ self.holds[term[a:b]] for a, b in zip(cut[:-1], cut[1:], strict=True)]).reshape(len(docs), -1)
-        out = np.zeros(len(docs), np.int64)
+        cut = np.searchsorted(doc, np.arange(len(length) + 1))
+        scores = np.array([w[a:b] @ self.holds[term[a:b]] for a, b in zip(cut[:-1], cut[1:], strict=True)]).reshape(len(length), -1)
+        out = np.zeros(len(length), np.int64)
         best = np.argsort(-scores / self.own, axis=1, kind="stable")[:, :ROUTE]
         for k in range(best.shape[1]):
             out = out * LEADERS + best[:, k]
         return out
 
 
-def some(batches: Iterator[pa.RecordBatch], of: str, kind: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    """Slices of the batches of about a million tokens, with their documents' ids; a longer document is a slice of its own."""
-    for batch in batches:
-        docs = [np.frombuffer(x, kind) for x in batch.column(of).to_pylist()]
-        at, tokens = 0, 0
-        for i, d in enumerate(docs):
-            if i > at and tokens + len(d) > SHARD_TOKENS:
-                yield batch.slice(at, i - at), docs[at:i]
-                at, tokens = i, 0
-            tokens += len(d)
-        if at < len(docs):
-            yield batch.slice(at), docs[at:]
-
+def n_ids(t: Transducer) -> int:
+    """Number of ids, those of special tokens included."""
+    return max([int(t.width) - 1, END_ID, *t.special.values()]) + 1
 
-def statistics(encoded: DataFrame, kind: str) -> Corpus:
-    """Document frequencies, number and mean length of all documents; a row for each term reaches the driver."""
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n, tokens = np.zeros(1, np.int64), 0, 0
-        for _, docs in some(batches, "_ids", kind):
-            more = np.bincount(occurrences(docs)[1])
-            df = np.pad(df, (0, max(0, len(more) - len(df))))
-            df[: len(more)] += more
-            n, tokens = n + len(docs), tokens + sum(map(len, docs))
-        term = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(term, [-1, -2])), pa.array(np.append(df[term], [n, tokens]))], names=["term", "df"])
+def encoded_texts(t: Transducer, texts: list[str | None]) -> Iterator[list[np.ndarray]]:
+    """Ids and END_ID of the texts, about a million characters at a time; a longer text comes alone."""
+    at, size = 0, 0
+    for i, x in enumerate([*texts, None]):
+        if i > at and (i == len(texts) or size + len(x or "") > SHARD_TOKENS):
+            yield [np.append(ids, np.uint32(END_ID)) for ids in t.encode([y or "" for y in texts[at:i]])]
+            at, size = i, 0
+        size += len(x or "")
 
-    rows = np.array(encoded.select("_ids").mapInArrow(partial, "term long, df long").groupBy("term").agg(F.sum("df")).collect(), np.int64).reshape(-1, 2)
-    total, rows = dict(rows[rows[:, 0] < 0].tolist()), rows[rows[:, 0] >= 0]
-    return Corpus(rows[:, 0], rows[:, 1], total.get(-1, 0), total.get(-2, 0))
 
-
-def leaders(encoded: DataFrame, kind: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Terms and frequencies of LEADERS different texts, drawn by hash; at most LEADERS vocabularies reach the driver."""
-    marked = encoded.select("_ids", F.xxhash64("_ids").alias("h"))
-    drawn = [r.h for r in marked.select("h").distinct().orderBy("h").limit(LEADERS).collect()]
+def routing(docs: DataFrame, path: str) -> Router:
+    """The router of SAMPLE different texts, drawn by hash; as many sets of terms at most reach the driver."""
+    marked = docs.select("text", F.xxhash64("text").alias("h"))
+    drawn = [r.h for r in marked.select("h").distinct().orderBy("h").limit(SAMPLE).collect()]
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, docs in some(batches, "_ids", kind):
-            doc, term, tf, _ = occurrences(docs)
-            yield pa.RecordBatch.from_arrays([part.column("h").take(pa.array(doc)), pa.array(term), pa.array(tf)], names=["h", "term", "tf"])
+        for batch in batches:
+            at = 0
+            for some in encoded_texts(transducer(path), batch.column("text").to_pylist()):
+                doc, term, tf, _ = occurrences(some)
+                yield pa.RecordBatch.from_arrays([batch.column("h").slice(at, len(some)).take(pa.array(doc)), pa.array(term), pa.array(tf)], names=["h", "term", "tf"])
+                at += len(some)
 
-    found: dict[int, list] = {h: [] for h in drawn}
+    found: dict[int, list] = {}
     for h, term, tf in marked.filter(F.col("h").isin(drawn)).mapInArrow(terms, "h long, term long, tf long").distinct().orderBy("h", "term").collect() if drawn else []:
-        found[h].append((term, tf))
-    return [tuple(np.array(x, np.int64).T) for x in found.values()]
+        found.setdefault(h, []).append((term, tf))
+    sample = [tuple(np.array(x, np.int64).T) for x in found.values()]
+    return Router(sample[:LEADERS], Corpus.of([np.repeat(term, tf) for term, tf in sample], n_ids(transducer(path))))
+
+
+def statistics(partial: DataFrame) -> Corpus:
+    """Document frequencies, number and mean length of all documents, from the tasks' sums _df; a row for each term reaches the driver."""
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(0, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                more = np.frombuffer(x, np.int64)
+                df = more + df if len(df) else more
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at - len(df)), pa.array(df[at])], names=["at", "n"])
+
+    rows = np.array(partial.select("_df").mapInArrow(total, "at long, n long").groupBy("at").agg(F.sum("n")).collect(), np.int64).reshape(-1, 2)
+    df = np.zeros(max(3, int(-rows[:, 0].min(initial=0))), np.int64)
+    df[rows[:, 0]] = rows[:, 1]
+    return Corpus(df[:-2], int(df[-2]), int(df[-1]))
 
 
 def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs: int = SHARD_DOCS) -> DataFrame:
@@ -194,8 +210,8 @@ def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs:
     themselves (array of int).  Every document's ids (the file's, then END_ID) lie in pieces, each id in one.
 
     The index is sharded by content.  Document frequencies, number and mean length are those of all documents.
-    Each document is scored against LEADERS of them (a bounded sample, drawn by hash), and all are sorted by the
-    leaders that suit them best: a shard is shard_docs documents that follow each other there, wherever they
+    Each document is scored against LEADERS texts (a bounded sample, drawn by hash, which also gives the idf of
+    this step alone), and all are sorted by the leaders that suit them best: a shard is shard_docs documents that follow each other there, wherever they
     stood in the input, and returns the neighbours of its seeds.  A seed's neighbours in other shards are not
     found.  The sort is by range and ends with a hash and the row's number, so a third of the rows in
     one source or group of copies is dealt over as many tasks as it needs; ids are written once and shuffled
@@ -205,24 +221,27 @@ def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs:
     the earlier row of the shard.  Other columns are ignored; an empty table gives no pieces.
     """
     spark, id_type = docs.sparkSession, dict(docs.dtypes)["doc_id"]
-    kind = "<u2" if transducer(path).width <= 1 << 16 else "<u4"
+    kind = "<u2" if n_ids(transducer(path)) <= 1 << 16 else "<u4"
+    router = spark.sparkContext.broadcast(routing(docs, path))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, row = transducer(path), TaskContext.get().partitionId() << 33
+        names, key_type = ["doc_id", "_ids", "_row", "_route", "_df"], None
+        df = np.zeros(n_ids(t) + 2, np.int64)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), 256):
-                ids = [np.append(x, END_ID).astype(kind).tobytes() for x in t.encode(texts[at : at + 256])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(ids, pa.binary()), pa.array(np.arange(row, row + len(ids)))], names=["doc_id", "_ids", "_row"])
-                row += len(ids)
-
-    encoded = written(docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {id_type}, _ids binary, _row long"), "zstd")
-    corpus = spark.sparkContext.broadcast(statistics(encoded, kind))
-    router = spark.sparkContext.broadcast(Router(leaders(encoded, kind), corpus.value))
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, own in some(batches, "_ids", kind):
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(router.value.routes(own))], names=[*part.schema.names, "_route"])
+            at, key_type = 0, batch.column(0).type
+            for some in encoded_texts(t, batch.column(1).to_pylist()):
+                doc, term, tf, size = occurrences(some)
+                df[:-2] += np.bincount(term, minlength=len(df) - 2)
+                df[-2:] += len(some), size.sum()
+                ids, route = pa.array([x.astype(kind).tobytes() for x in some], pa.binary()), router.value.routes(doc, term, tf, size)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), ids, pa.array(np.arange(row, row + len(some))), pa.array(route), pa.nulls(len(some), pa.binary())], names=names)
+                at, row = at + len(some), row + len(some)
+        if key_type is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, key_type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([df.tobytes()], pa.binary())], names=names)
+
+    encoded = written(docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {id_type}, _ids binary, _row long, _route long, _df binary"))
+    corpus = spark.sparkContext.broadcast(statistics(encoded.filter("_df is not null")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
@@ -256,7 +275,7 @@ def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs:
             yield shard()
 
     order = ["_route", "_hash", "_row"]
-    routed = encoded.mapInArrow(route, f"doc_id {id_type}, _ids binary, _row long, _route long").withColumn("_hash", F.xxhash64("_ids"))
+    routed = encoded.filter("_df is null").withColumn("_hash", F.xxhash64("_ids"))
     schema = f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
     return routed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "_ids").mapInArrow(run, schema)
 

@@ -291,13 +291,14 @@ def test_routes_bring_topics_together(spark):
     topics = [[w.translate(str.maketrans("abc", letters)) for w in words] for letters in ("abc", "def", "ghi", "jkl", "mno", "pqr", "stu", "vwx")]  # no two share a letter
     library = Tokenizer.from_file(PATH)
     docs = [np.array([*library.encode(" ".join(topics[i % 8][(i // 8 * 3 + k) % 81] for k in range(25))).ids, 0], np.uint32) for i in range(400)]
-    encoded = spark.createDataFrame([(bytearray(d.astype("<u2").tobytes()),) for d in docs], "_ids binary").repartition(5)
-    corpus, want = packing.statistics(encoded, "<u2"), packing.Corpus.of(docs)
-    assert np.allclose(corpus.idf, want.idf) and corpus.mean == want.mean
-    drawn = packing.leaders(encoded, "<u2")
-    known = {tuple(map(tuple, np.array(np.unique(d, return_counts=True)))) for d in docs}
-    assert len(drawn) == packing.LEADERS and all(tuple(map(tuple, np.array(x))) in known for x in drawn)
-    order = np.argsort(packing.Router(drawn, corpus).routes(docs), kind="stable") % 8
+    parts = [docs[i::5] for i in range(5)]
+    sums = [[*np.bincount(packing.occurrences(p)[1], minlength=len(packing.Corpus.of(docs).idf)), len(p), sum(map(len, p))] for p in parts]
+    corpus, want = packing.statistics(spark.createDataFrame([(bytearray(np.array(x, np.int64).tobytes()),) for x in sums], "_df binary").repartition(3)), packing.Corpus.of(docs)
+    assert np.array_equal(corpus.idf, want.idf) and corpus.mean == want.mean
+    router = packing.routing(spark.createDataFrame([(library.decode(d.tolist()[:-1]),) for d in docs], "text string").repartition(5), PATH)
+    want = packing.Corpus.of([np.array(d, np.uint32) for d in {tuple(d.tolist()) for d in docs}])  # of different texts; all, as they are fewer than SAMPLE
+    assert router.corpus.mean == want.mean and np.array_equal(router.corpus.idf[: len(want.idf)], want.idf)
+    order = np.argsort(router.routes(*packing.occurrences(docs)), kind="stable") % 8
     assert (np.diff(order) != 0).sum() <= 100  # 399 in the given order, about 350 in a random one
 
 
