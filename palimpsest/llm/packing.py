@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm._bpe import Transducer, transducer
-from palimpsest.llm._spark import load, written
+from palimpsest.llm._spark import load, may_hold, membership, written
 from palimpsest.llm.token_counts import VOCABULARY, vocabulary_path
 
 LENGTH, END_ID = 1024, 0
 #: Documents in one shard of the index (the last shard of a task has fewer); a shard ends early at SHARD_TOKENS.
 SHARD_DOCS, SHARD_TOKENS = 512, 1 << 20
 K1, B = 1.2, 0.75
-#: Different texts drawn by hash for the idf of routing, how many of them are leaders, and how many leaders, by falling score, make a route.
-SAMPLE, LEADERS, ROUTE = 512, 64, 4
+#: Random signs of a term, steps of one in the sums of documents' sketches, and principal directions of all different texts that make a route.
+SKETCH, STEPS, DIRECTIONS = 256, 256, 8
 #: A term in one of so many documents of a shard or more has its weights in a dense row.
 DENSE = 8
 
@@ -45,9 +47,13 @@ class Corpus:
 def occurrences(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Document, term and frequency of each term of each document, in this order, and the documents' lengths."""
     length = np.fromiter(map(len, docs), np.int64, len(docs))
-    flat = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
-    key, tf = np.unique((np.repeat(np.arange(len(docs), dtype=np.int64), length) << 32) | flat, return_counts=True)
-    return key >> 32, key & 0xFFFFFFFF, tf, length
+    flat = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
+    kind, low = (np.uint32, 16) if len(docs) <= 1 << 16 and flat.max(initial=0) < 1 << 16 else (np.uint64, 32)
+    key = (np.repeat(np.arange(len(docs), dtype=kind), length) << kind(low)) | flat.astype(kind)
+    key.sort()
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    tf, key = np.diff(first, append=len(key)), key[first].astype(np.int64)
+    return key >> low, key & ((1 << low) - 1), tf, length
 
 
 class Bm25:
@@ -125,28 +131,41 @@ def pack_shard(docs: list[np.ndarray], length: int, corpus: Corpus) -> list[tupl
     return out
 
 
+@functools.cache
+def signs(n: int) -> np.ndarray:
+    """SKETCH signs of each of n terms, the same everywhere; they depend on no document."""
+    return np.random.default_rng(0).integers(0, 2, (n, SKETCH), np.int8) * np.int8(2) - np.int8(1)
+
+
+def projected(corpus: Corpus, rows: np.ndarray, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """BM25 weights of each of the occurrences' documents, at unit length, times the terms' rows."""
+    w = corpus.weights(term, tf, length[doc]).astype(np.float32)
+    cut = np.searchsorted(doc, np.arange(len(length) + 1))
+    out = np.array([w[a:b] @ rows[term[a:b]].astype(np.float32) for a, b in zip(cut[:-1], cut[1:], strict=True)]).reshape(len(length), rows.shape[1])
+    return out / np.maximum(np.sqrt(np.bincount(doc, w * w, len(length))), 1e-9)[:, None]
+
+
 class Router:
-    """Orders documents so that those which score high for the same leaders follow each other."""
+    """Orders documents so that those whose terms point the same way follow each other."""
 
-    def __init__(self, leaders: list[tuple[np.ndarray, np.ndarray]], corpus: Corpus):
-        """leaders: terms and their frequencies of each."""
+    def __init__(self, corpus: Corpus, sums: np.ndarray):
+        """sums: over all texts, products of the sketches (1, then SKETCH numbers in STEPS) with each other."""
         self.corpus = corpus
-        self.holds = np.zeros((len(corpus.idf), len(leaders)), np.float32)
-        own = np.ones(len(leaders))
-        for j, (term, tf) in enumerate(leaders):
-            self.holds[term, j] = 1
-            own[j] = max(corpus.weights(term, tf, tf.sum()).sum(), 1e-9)
-        self.own = own
+        mean = sums[0, 1:] / max(sums[0, 0], 1)
+        _, found = np.linalg.eigh(sums[1:, 1:] / max(sums[0, 0], 1) - np.outer(mean, mean))
+        found = found[:, : -DIRECTIONS - 1 : -1]
+        found = found * np.where(found[np.abs(found).argmax(axis=0), np.arange(DIRECTIONS)] < 0, -1, 1)
+        self.axes = signs(len(corpus.idf)).astype(np.float32) @ found.astype(np.float32)
+        self.origin = mean @ found / STEPS
 
     def routes(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """The ROUTE leaders with the highest share of their own score (ties: the earlier) as one number, of each of the occurrences' documents."""
-        w = self.corpus.weights(term, tf, length[doc]).astype(np.float32)
-        cut = np.searchsorted(doc, np.arange(len(length) + 1))
-        scores = np.array([w[a:b] @ self.holds[term[a:b]] for a, b in zip(cut[:-1], cut[1:], strict=True)]).reshape(len(length), -1)
+        """The directions with their signs, from the one a document lies farthest along (ties: the earlier), as one number, of each of the occurrences' documents."""
+        along = projected(self.corpus, self.axes, doc, term, tf, length) - self.origin
+        best = np.argsort(-np.abs(along), axis=1, kind="stable")
+        digits = 2 * best + (np.take_along_axis(along, best, axis=1) < 0)
         out = np.zeros(len(length), np.int64)
-        best = np.argsort(-scores / self.own, axis=1, kind="stable")[:, :ROUTE]
-        for k in range(best.shape[1]):
-            out = out * LEADERS + best[:, k]
+        for k in range(DIRECTIONS):
+            out = out * 2 * DIRECTIONS + digits[:, k]
         return out
 
 
@@ -165,42 +184,128 @@ def encoded_texts(t: Transducer, texts: list[str | None]) -> Iterator[list[np.nd
         size += len(x or "")
 
 
-def routing(docs: DataFrame, path: str) -> Router:
-    """The router of SAMPLE different texts, drawn by hash; as many sets of terms at most reach the driver."""
-    marked = docs.select("text", F.xxhash64("text").alias("h"))
-    drawn = [r.h for r in marked.select("h").distinct().orderBy("h").limit(SAMPLE).collect()]
+def id_kind(path: str) -> str:
+    """How ids are written."""
+    return "<u2" if n_ids(transducer(path)) <= 1 << 16 else "<u4"
+
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, _ids, _row and _hash (of the ids) of every text, and a row for each task with its sums _df alone; written."""
+    kind = id_kind(path)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, row = transducer(path), TaskContext.get().partitionId() << 33
+        names, key_type = ["doc_id", "_ids", "_row", "_df"], None
+        df = np.zeros(n_ids(t) + 2, np.int64)
         for batch in batches:
-            at = 0
-            for some in encoded_texts(transducer(path), batch.column("text").to_pylist()):
-                doc, term, tf, _ = occurrences(some)
-                yield pa.RecordBatch.from_arrays([batch.column("h").slice(at, len(some)).take(pa.array(doc)), pa.array(term), pa.array(tf)], names=["h", "term", "tf"])
-                at += len(some)
+            at, key_type = 0, batch.column(0).type
+            for some in encoded_texts(t, batch.column(1).to_pylist()):
+                _, term, _, size = occurrences(some)
+                df[:-2] += np.bincount(term, minlength=len(df) - 2)
+                df[-2:] += len(some), size.sum()
+                ids = pa.array([x.astype(kind).tobytes() for x in some], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), ids, pa.array(np.arange(row, row + len(some))), pa.nulls(len(some), pa.binary())], names=names)
+                at, row = at + len(some), row + len(some)
+        if key_type is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, key_type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([df.tobytes()], pa.binary())], names=names)
 
-    found: dict[int, list] = {}
-    for h, term, tf in marked.filter(F.col("h").isin(drawn)).mapInArrow(terms, "h long, term long, tf long").distinct().orderBy("h", "term").collect() if drawn else []:
-        found.setdefault(h, []).append((term, tf))
-    sample = [tuple(np.array(x, np.int64).T) for x in found.values()]
-    return Router(sample[:LEADERS], Corpus.of([np.repeat(term, tf) for term, tf in sample], n_ids(transducer(path))))
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, _ids binary, _row long, _df binary"
+    return written(docs.select("doc_id", "text").mapInArrow(encode, schema).withColumn("_hash", F.xxhash64("_ids")))
 
 
-def statistics(partial: DataFrame) -> Corpus:
-    """Document frequencies, number and mean length of all documents, from the tasks' sums _df; a row for each term reaches the driver."""
+def decoded(ids: list[bytes], kind: str) -> Iterator[list[np.ndarray]]:
+    """Written ids, about SHARD_TOKENS at a time; those of a longer text come alone."""
+    at, size = 0, 0
+    for i, x in enumerate([*ids, b""]):
+        n = len(x) // np.dtype(kind).itemsize
+        if i > at and (i == len(ids) or size + n > SHARD_TOKENS):
+            yield [np.frombuffer(y, kind) for y in ids[at:i]]
+            at, size = i, 0
+        size += n
+
+
+def repeats(table: DataFrame) -> DataFrame:
+    """_ids of each text that occurs more than once in a table of `encoded`, and _n: one less than its rows, negative; written.
+
+    A bitmap of such hashes lets other rows pass by; equal ids are counted in the map tasks before they are shuffled.
+    """
+    rows = table.filter("_df is null")
+    often = written(rows.groupBy("_hash").count().filter("count > 1").select("_hash"))
+    shared = table.sparkSession.sparkContext.broadcast(membership(often, "_hash"))
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(np.frombuffer(shared.value, np.uint8), h.to_numpy().view(np.uint64)))
+
+    counted = rows.select("_hash", "_ids").filter(maybe("_hash")).groupBy("_hash", "_ids").agg(F.count("*").alias("n"))
+    return written(counted.filter("n > 1").select("_ids", (1 - F.col("n")).alias("_n")))
+
+
+def summed(partial: DataFrame) -> np.ndarray:
+    """Sum of the arrays (long, of one length, the first place not 0 in sum) of a binary column; a row for each place reaches the driver."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(0, np.int64)
+        out = np.zeros(0, np.int64)
         for batch in batches:
             for x in batch.column(0).to_pylist():
                 more = np.frombuffer(x, np.int64)
-                df = more + df if len(df) else more
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at - len(df)), pa.array(df[at])], names=["at", "n"])
+                out = more + out if len(out) else more
+        at = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(at - len(out)), pa.array(out[at])], names=["at", "n"])
 
-    rows = np.array(partial.select("_df").mapInArrow(total, "at long, n long").groupBy("at").agg(F.sum("n")).collect(), np.int64).reshape(-1, 2)
-    df = np.zeros(max(3, int(-rows[:, 0].min(initial=0))), np.int64)
-    df[rows[:, 0]] = rows[:, 1]
-    return Corpus(df[:-2], int(df[-2]), int(df[-1]))
+    rows = np.array(partial.mapInArrow(total, "at long, n long").groupBy("at").agg(F.sum("n")).collect(), np.int64).reshape(-1, 2)
+    out = np.zeros(int(-rows[:, 0].min(initial=0)), np.int64)
+    out[rows[:, 0]] = rows[:, 1]
+    return out
+
+
+def statistics(partial: DataFrame) -> Corpus:
+    """Document frequencies, number and mean length of all documents, from the tasks' sums _df."""
+    df = summed(partial.select("_df"))
+    return Corpus(df[:-2], int(df[-2]), int(df[-1])) if len(df) else Corpus(np.zeros(1, np.int64), 0, 0)
+
+
+def routing(docs: DataFrame, path: str) -> Router:
+    """The router of all different texts of docs (a column text, or a table of `encoded`).
+
+    Sums are taken of all rows; what a repeated text adds beyond its first row is taken off again.
+    """
+    kind, n = id_kind(path), n_ids(transducer(path))
+    table = docs if "_ids" in docs.columns else encoded(docs.select(F.lit(0).alias("doc_id"), "text"), path)
+    again = repeats(table)
+
+    def surplus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(n + 2, np.int64)
+        for batch in batches:
+            at = 0
+            for some in decoded(batch.column(0).to_pylist(), kind):
+                times = batch.column(1).to_numpy()[at : at + len(some)]
+                doc, term, _, size = occurrences(some)
+                df[:-2] += np.bincount(term, times[doc], n).astype(np.int64)
+                df[-2:] += times.sum(), times @ size
+                at += len(some)
+        if df.any():
+            yield pa.RecordBatch.from_arrays([pa.array([df.tobytes()], pa.binary())], names=["_df"])
+
+    corpus = statistics(table.filter("_df is not null").select("_df").unionAll(written(again.mapInArrow(surplus, "_df binary"))))
+    shared = docs.sparkSession.sparkContext.broadcast(corpus)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # whole numbers below 2**53: sums are exact, whatever their order
+        out = np.zeros((SKETCH + 1, SKETCH + 1))
+        for batch in batches:
+            at = 0
+            for some in decoded(batch.column(0).to_pylist(), kind):
+                sketch = np.ones((len(some), SKETCH + 1))
+                sketch[:, 1:] = np.rint(STEPS * projected(shared.value, signs(n), *occurrences(some)))
+                out += (sketch * batch.column(1).to_numpy()[at : at + len(some), None]).T @ sketch
+                at += len(some)
+        if out.any():
+            yield pa.RecordBatch.from_arrays([pa.array([out.astype(np.int64).tobytes()], pa.binary())], names=["sums"])
+
+    every = table.filter("_df is null").select("_ids", F.lit(1).cast("long").alias("_n")).unionAll(again)
+    sums = summed(written(every.mapInArrow(products, "sums binary")))
+    return Router(corpus, sums.reshape(SKETCH + 1, SKETCH + 1) if len(sums) else np.zeros((SKETCH + 1, SKETCH + 1)))
 
 
 def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs: int = SHARD_DOCS) -> DataFrame:
@@ -210,38 +315,25 @@ def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs:
     themselves (array of int).  Every document's ids (the file's, then END_ID) lie in pieces, each id in one.
 
     The index is sharded by content.  Document frequencies, number and mean length are those of all documents.
-    Each document is scored against LEADERS texts (a bounded sample, drawn by hash, which also gives the idf of
-    this step alone), and all are sorted by the leaders that suit them best: a shard is shard_docs documents that follow each other there, wherever they
-    stood in the input, and returns the neighbours of its seeds.  A seed's neighbours in other shards are not
-    found.  The sort is by range and ends with a hash and the row's number, so a third of the rows in
-    one source or group of copies is dealt over as many tasks as it needs; ids are written once and shuffled
-    once.  Only the last sequence of a shard is not full; it is to be padded.
+    Each document is placed along the DIRECTIONS in which all different texts vary most (principal directions of
+    their weights, at random signs of the terms), and all are sorted by the directions that suit them best: a
+    shard is shard_docs documents that follow each other there, wherever they stood in the input, and returns the
+    neighbours of its seeds.  A seed's neighbours in other shards are not found.  The sort is by range and ends
+    with a hash and the row's number, so a third of the rows in one source or group of copies is dealt over as
+    many tasks as it needs; ids are written once and shuffled once.  Only the last sequence of a shard is not
+    full; it is to be padded.
 
     A null or empty text is one END_ID.  Repeated rows are packed as often as they occur; ties in score go to
     the earlier row of the shard.  Other columns are ignored; an empty table gives no pieces.
     """
-    spark, id_type = docs.sparkSession, dict(docs.dtypes)["doc_id"]
-    kind = "<u2" if n_ids(transducer(path)) <= 1 << 16 else "<u4"
-    router = spark.sparkContext.broadcast(routing(docs, path))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, row = transducer(path), TaskContext.get().partitionId() << 33
-        names, key_type = ["doc_id", "_ids", "_row", "_route", "_df"], None
-        df = np.zeros(n_ids(t) + 2, np.int64)
-        for batch in batches:
-            at, key_type = 0, batch.column(0).type
-            for some in encoded_texts(t, batch.column(1).to_pylist()):
-                doc, term, tf, size = occurrences(some)
-                df[:-2] += np.bincount(term, minlength=len(df) - 2)
-                df[-2:] += len(some), size.sum()
-                ids, route = pa.array([x.astype(kind).tobytes() for x in some], pa.binary()), router.value.routes(doc, term, tf, size)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), ids, pa.array(np.arange(row, row + len(some))), pa.array(route), pa.nulls(len(some), pa.binary())], names=names)
-                at, row = at + len(some), row + len(some)
-        if key_type is not None:
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, key_type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([df.tobytes()], pa.binary())], names=names)
+    spark, id_type, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"], id_kind(path)
+    table = encoded(docs, path)
+    router = spark.sparkContext.broadcast(routing(table, path))
+    corpus = spark.sparkContext.broadcast(statistics(table.filter("_df is not null")))
 
-    encoded = written(docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {id_type}, _ids binary, _row long, _route long, _df binary"))
-    corpus = spark.sparkContext.broadcast(statistics(encoded.filter("_df is not null")))
+    @F.pandas_udf("long")
+    def route(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.concatenate([np.zeros(0, np.int64), *(router.value.routes(*occurrences(some)) for some in decoded(ids.tolist(), kind))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
@@ -275,7 +367,7 @@ def retrieval_pack(docs: DataFrame, path: str, length: int = LENGTH, shard_docs:
             yield shard()
 
     order = ["_route", "_hash", "_row"]
-    routed = encoded.filter("_df is null").withColumn("_hash", F.xxhash64("_ids"))
+    routed = table.filter("_df is null").withColumn("_route", route("_ids"))
     schema = f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
     return routed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "_ids").mapInArrow(run, schema)
 

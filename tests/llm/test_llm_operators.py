@@ -302,6 +302,27 @@ def test_routes_bring_topics_together(spark):
     assert (np.diff(order) != 0).sum() <= 100  # 399 in the given order, about 350 in a random one
 
 
+def test_routes_follow_all_texts(spark):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(4)
+    library = Tokenizer.from_file(PATH)
+    texts = [f"{i} " + " ".join(f"w{x}" for x in rng.integers(0, 200, rng.integers(1, 30))) for i in range(1500)]
+    docs = [np.array([*library.encode(x, add_special_tokens=False).ids, 0], np.uint32) for x in texts]
+    rows = [*texts, *texts[:700], *[texts[0]] * 900]  # a repeated text counts once
+    router = packing.routing(spark.createDataFrame([(x,) for x in rows], "text string").repartition(5), PATH)
+    want = packing.Corpus.of(docs, len(router.corpus.idf))
+    assert router.corpus.mean == want.mean and np.array_equal(router.corpus.idf, want.idf)
+    sketch = np.rint(packing.STEPS * packing.projected(want, packing.signs(len(want.idf)), *packing.occurrences(docs)))
+    sums = np.column_stack([np.ones(len(docs)), sketch])
+    plain = packing.Router(want, sums.T @ sums)
+    assert np.array_equal(router.axes, plain.axes) and np.array_equal(router.origin, plain.origin)
+    spread = np.var(projection := packing.projected(want, router.axes, *packing.occurrences(docs)), axis=0)
+    most = np.linalg.eigvalsh(np.cov(sketch.T, bias=True))[: -packing.DIRECTIONS - 1 : -1] / packing.STEPS**2
+    assert np.allclose(spread, most, rtol=0.02) and np.allclose(projection.mean(axis=0), router.origin, atol=0.01)
+
+
 def test_token_counts_equal_library(spark, tables):
     from tokenizers import Tokenizer
 
