@@ -28,6 +28,12 @@ def words(x: Column | str) -> Column:
     return F.filter(F.split(col(x), rf"{SPACE}+", -1), lambda w: w != "")
 
 
+def has_words(x: Column | str, n: int) -> Column:
+    """Whether there are n words at least; a long text is read up to the nth."""
+    other = SPACE.replace("[", "[^", 1)
+    return col(x).rlike(rf"^{SPACE}*+(?:{other}++{SPACE}++){{{n - 1}}}{other}" if n > 0 else "")
+
+
 def normalize(x: Column | str) -> Column:
     """Lower case; each run of other characters than letters, digits and _ is one blank."""
     return F.trim(replace(F.lower(col(x)), NO_WORD + "+", " "))

@@ -118,10 +118,8 @@ def q_top_reasons(spark, d):
 
 
 def q_accept_summary(spark, d):
-    rows = classified(spark, d).withColumn("ok", F.col("reason").isNull())
-    kept = dedup.dedup_normalized(rows.filter("ok").withColumnRenamed("doc_id", "id"))
-    a = rows.agg(F.count("*").alias("total"), F.count_if("ok").alias("ok"), F.count_if(F.col("ok") & rules.self_answer(F.col("raw"))).alias("suspects"))
-    return a.join(F.broadcast(kept.agg(F.count("*").alias("kept")))).withColumn("duplicates", F.col("ok") - F.col("kept"))  # one row each
+    rows = classified(spark, d)
+    return dedup.accept_summary(rows, F.col("reason").isNull(), rules.self_answer(F.col("raw")))
 
 
 def q_split_answer(spark, d):
