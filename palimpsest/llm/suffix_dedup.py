@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from palimpsest.llm._spark import keyed, load, may_hold, membership, written
 from palimpsest.llm._vec import byte_values, chunks, gram_hash, merged, mix, prefix_hash, span_hash, winnow
 
-#: Bytes of a string, of an anchor, and of a symbol of the merged orders (a divisor of LENGTH).
+#: Bytes of a string, of an anchor, and of a symbol of the merged orders (a divisor of LENGTH; two pairs of bytes).
 LENGTH, ANCHOR, SYMBOL = 100, 24, 4
 #: Segments that are merged at once at least, and bytes of them that a map task holds before it hands on.
 MERGE, HOLD_BYTES = 4096, 24 << 20
@@ -32,11 +32,22 @@ class Anchored:
         self.first = np.concatenate([[0], np.cumsum(lengths + 1)])
         self.c = prefix_hash(byte_values(np.frombuffer(self.data, np.uint8)))
         self.hash = gram_hash(self.c, ANCHOR)
-        chosen = winnow(self.hash, NEXT)
+        chosen = winnow(self.hash, NEXT)  # never falls from one string to the next
         n = np.maximum(0, lengths - LENGTH + 1)
         self.at = np.repeat(self.first[:-1], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
         self.own = np.repeat(np.arange(len(texts)), n)
         self.anchor = chosen[self.at]
+        #: The first string of each run of strings that share an anchor, and the anchors of the runs.
+        self.new = np.flatnonzero(np.diff(self.anchor, prepend=-1))
+        self.anchors = self.anchor[self.new]
+
+    def each(self, of_run: np.ndarray) -> np.ndarray:
+        """What holds for each run, for each of its strings."""
+        return np.repeat(of_run, np.diff(self.new, append=len(self.at)))
+
+    def hot(self, anchor: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        h = self.hash[anchor]
+        return hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h if len(hot) else np.zeros(len(h), bool)
 
     def runs(self, hit: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the strings `hit`: first and last string of each run that shares one anchor, its key, and whether it is a piece.
@@ -45,14 +56,17 @@ class Anchored:
         bytes that all strings at these distances share, so equal strings always have equal keys.
         """
         at, anchor = self.at[hit], self.anchor[hit]
-        h = self.hash[anchor]
-        piece = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h if len(hot) else np.zeros(len(h), bool)
-        part = np.where(piece, (anchor - at) // PIECE, -1)
-        new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])])
+        new = np.diff(anchor, prepend=-1) != 0
+        piece = self.hot(anchor[new], hot)
+        split = np.flatnonzero(np.repeat(piece, np.diff(np.flatnonzero(new), append=len(at))))
+        part = (anchor[split] - at[split]) // PIECE
+        new[split[1:]] |= np.diff(part) != 0
         a = np.flatnonzero(new)
         b = np.append(a[1:], len(at)) - 1
-        key, cut = h[a].copy(), np.flatnonzero(piece[a])
-        core = anchor[a[cut]] - part[a[cut]] * PIECE
+        key, piece = self.hash[anchor[a]], np.zeros(len(at), bool)
+        piece[split] = True
+        cut = np.flatnonzero(piece[a])
+        core = anchor[a[cut]] - (anchor[a[cut]] - at[a[cut]]) // PIECE * PIECE
         key[cut] = mix(key[cut] ^ span_hash(self.c, core, core + LENGTH - PIECE + 1))
         return hit[a], hit[b], key, piece[a]
 
@@ -64,7 +78,7 @@ def anchor_hashes(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
                 t = Anchored(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(t.hash[np.unique(t.anchor)].view(np.int64))], names=["a"])
+                yield pa.RecordBatch.from_arrays([pa.array(t.hash[t.anchors].view(np.int64))], names=["a"])
 
     return docs.select("text").mapInArrow(run, "a long")
 
@@ -77,9 +91,8 @@ def piece_keys(docs: DataFrame, hot: np.ndarray) -> DataFrame:
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
                 t = Anchored(texts)
-                if len(t.at):
-                    _, _, key, piece = t.runs(np.arange(len(t.at)), shared.value)
-                    yield pa.RecordBatch.from_arrays([pa.array(key[piece].view(np.int64))], names=["a"])
+                if len(hit := np.flatnonzero(t.each(t.hot(t.anchors, shared.value)))):
+                    yield pa.RecordBatch.from_arrays([pa.array(t.runs(hit, shared.value)[2].view(np.int64))], names=["a"])
 
     return docs.select("text").mapInArrow(run, "a long")
 
@@ -139,7 +152,7 @@ def segments(docs: DataFrame, anchors: bytes, hot: np.ndarray, pieces: bytes | N
             doc, k1, k2 = (batch.column(j).fill_null(0).to_numpy() for j in range(3))
             for first, texts in chunks(batch.column(3)):
                 t = Anchored(texts)
-                hit = np.flatnonzero(may_hold(held, t.hash[t.anchor])) if len(t.at) else t.at
+                hit = np.flatnonzero(t.each(may_hold(held, t.hash[t.anchors])))
                 if not len(hit):
                     continue
                 begin, end, key, piece = t.runs(hit, hot)
@@ -158,6 +171,24 @@ def segments(docs: DataFrame, anchors: bytes, hot: np.ndarray, pieces: bytes | N
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "k1", "k2", "text").mapInArrow(run, _SCHEMA)
 
 
+def dense(code: np.ndarray, n: int) -> tuple[int, np.ndarray]:
+    """Numbers below n, numbered anew in order without gaps: how many kinds, and the new numbers."""
+    seen = np.zeros(n, bool)
+    seen[code] = True
+    number = np.cumsum(seen, dtype=np.int32)
+    return int(number[-1]), (number - 1)[code]
+
+
+def symbols(data: np.ndarray) -> tuple[int, np.ndarray]:
+    """The number of kinds of SYMBOL bytes in data, and the kind at each place: pairs of bytes are numbered, then pairs of these."""
+    n, code = dense(data[:-1].astype(np.int64) << 8 | data[1:], 1 << 16)
+    code = code[:-2].astype(np.int64) * n + code[2:]
+    if n * n <= 1 << 24:
+        return dense(code, n * n)
+    kinds, code = np.unique(code, return_inverse=True)
+    return len(kinds), code
+
+
 def merge_orders(data: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Strings of LENGTH bytes at the places `base` in data, in order, without those that are unique; and their intervals.
 
@@ -167,25 +198,25 @@ def merge_orders(data: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.nda
     neighbours, their common prefix is t - 1 symbols; what no pass separates shares all LENGTH bytes.  A
     suffix that has become unique stays so with any symbol before it, so it leaves.
     """
-    n = len(data) - SYMBOL + 1
-    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, SYMBOL)).view(np.uint32).ravel()[:n]
-    kinds, code = np.unique(words, return_inverse=True)
-    low, high = code.astype(np.uint16), (code >> 16).astype(np.uint16) if len(kinds) > 1 << 16 else None
-    z, interval = base.copy(), np.zeros(len(base), np.int64)
+    kinds, code = symbols(data)
+    low, high = code.astype(np.uint16), (code >> 16).astype(np.uint16) if kinds > 1 << 16 else None
+    kind = np.int32 if len(data) < 1 << 31 else np.int64
+    z, interval = base.astype(kind), np.zeros(len(base), kind)
     for t in range(LENGTH // SYMBOL - 1, -1, -1):
         if len(z) < 2:
             return z[:0], interval[:0]
         place = z + t * SYMBOL
+        c = low[place]
+        o = np.argsort(c, kind="stable")
         if high is not None:
-            o = np.argsort(low[place], kind="stable")
-            z, interval, place = z[o], interval[o], place[o]
-            o = np.argsort(high[place], kind="stable")
-        else:
-            o = np.argsort(low[place], kind="stable")
-        z, interval, c = z[o], interval[o], code[place[o]]
-        new = np.concatenate([[True], (c[1:] != c[:-1]) | (interval[1:] != interval[:-1]), [True]])
+            o = o[np.argsort(high[place[o]], kind="stable")]
+            c = code[place]
+        z, interval, c = z[o], interval[o], c[o]
+        new = np.ones(len(z) + 1, bool)
+        np.not_equal(c[1:], c[:-1], out=new[1:-1])
+        new[1:-1] |= interval[1:] != interval[:-1]
         alone = new[:-1] & new[1:]
-        interval = np.cumsum(new[:-1])
+        interval = np.cumsum(new[:-1], dtype=kind)
         if alone.any():
             z, interval = z[~alone], interval[~alone]
     return z, interval
@@ -211,17 +242,21 @@ def repeats(rows: DataFrame) -> DataFrame:
             z, interval = merge_orders(data, base)
             null = np.asarray(rows.column("doc_id").combine_chunks().is_null())
             doc, k1, k2, start = (rows.column(c).combine_chunks().fill_null(0).to_numpy() for c in ("doc_id", "k1", "k2", "start"))
-            who = np.searchsorted(begin, z, "right") - 1
+            # texts in order, by one number; with the place in the text it orders the strings
+            o = np.lexsort((k2, doc, null))
+            text = np.zeros(len(o), np.int64)
+            text[o] = np.cumsum(np.concatenate([[False], (k2[o][1:] != k2[o][:-1]) | (doc[o][1:] != doc[o][:-1]) | (null[o][1:] != null[o][:-1])]))
+            first = (text << 32) + start - begin
+            who = np.repeat(np.arange(len(o), dtype=np.int32), length)
+            at = first[who[z]] + z
+            new = np.flatnonzero(np.diff(interval, prepend=-1))
+            later = np.ones(len(z), bool) if not len(new) else at != np.repeat(np.minimum.reduceat(at, new), np.diff(new, append=len(z)))
+            gone = np.zeros(len(data), bool)
+            gone[z[later]] = True
+            z = np.flatnonzero(gone)
+            who = who[z]
             place = start[who] + z - begin[who]
-            o = np.lexsort((place, k2[who], doc[who], null[who], interval))
-            who, place, interval = who[o], place[o], interval[o]
-            if len(who):
-                head = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))[np.cumsum(np.concatenate([[True], interval[1:] != interval[:-1]])) - 1]
-                later = ~((k1[who] == k1[who[head]]) & (k2[who] == k2[who[head]]) & (place == place[head]))
-                who, place = who[later], place[later]
-                o = np.lexsort((place, who))
-                who, place = who[o], place[o]
-            new = np.concatenate([[True], (who[1:] != who[:-1]) | (place[1:] != place[:-1] + 1)]) if len(who) else np.zeros(0, bool)
+            new = np.concatenate([[True], (who[1:] != who[:-1]) | (z[1:] != z[:-1] + 1)]) if len(who) else np.zeros(0, bool)
             a = np.flatnonzero(new)
             b = np.append(a[1:], len(who)) - 1 if len(a) else a
             return pa.RecordBatch.from_arrays([pa.array(k1[who[a]]), pa.array(k2[who[a]]), pa.array(place[a].astype(np.int32)), pa.array((place[b] + LENGTH).astype(np.int32))], names=["k1", "k2", "start", "stop"])

@@ -1,10 +1,12 @@
 """Every operator on awkward rows: against its SQL where it has some, else against a plain version."""
 
+import itertools
 import hashlib
 import random
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 
 from palimpsest import llm
@@ -384,3 +386,35 @@ def test_membership_bits(spark):
     bits = np.frombuffer(_spark.membership(spark.createDataFrame([(v,) for v in values], "h long"), "h"), np.uint8)
     h = np.array(values, np.int64).view(np.uint64)
     assert _spark.may_hold(bits, h).all() and int(np.unpackbits(bits).sum()) == len({v & (_spark.FILTER_LEAST - 1) for v in values})
+
+
+@pytest.mark.parametrize("kinds", [4, 90, 256])
+def test_symbols_and_orders_of_any_bytes(kinds):
+    rng = np.random.default_rng(kinds)
+    data = rng.integers(0, kinds, 300_000).astype(np.uint8)
+    data[1000:1300], data[250_000:250_150] = data[5000:5300], data[5100:5250]
+    n, code = suffix_dedup.symbols(data)
+    words = [data[i : i + suffix_dedup.SYMBOL].tobytes() for i in range(len(data) - suffix_dedup.SYMBOL + 1)]
+    assert n == len(set(words)) == len(set(zip(words, code.tolist(), strict=True))) == code.max() + 1
+    z, interval = suffix_dedup.merge_orders(data, np.arange(len(data) - suffix_dedup.LENGTH + 1))
+    got: dict = {}
+    for p, k in zip(z.tolist(), interval.tolist(), strict=True):
+        got.setdefault(k, []).append(p)
+    want: dict = {}
+    for p in range(len(data) - suffix_dedup.LENGTH + 1):
+        want.setdefault(data[p : p + suffix_dedup.LENGTH].tobytes(), []).append(p)
+    assert sorted(map(sorted, got.values())) == sorted(x for x in want.values() if len(x) > 1)
+
+
+def test_runs_of_anchors_are_judged_once():
+    rng = np.random.default_rng(3)
+    t = suffix_dedup.Anchored([rng.integers(97, 101, n).astype(np.uint8).tobytes() for n in (0, 99, 100, 101, 3000, 800)])
+    assert t.anchors.tolist() == np.unique(t.anchor).tolist() and t.each(t.anchors).tolist() == t.anchor.tolist()
+    hot = np.sort(t.hash[t.anchors[::3]])
+    hit = np.flatnonzero(t.each(np.arange(len(t.anchors)) % 2 == 0))
+    a, b, key, piece = t.runs(hit, hot)
+    is_hot = np.isin(t.hash[t.anchor[hit]], hot)
+    part = np.where(is_hot, (t.anchor[hit] - t.at[hit]) // suffix_dedup.PIECE, -1)
+    groups = [list(g) for _, g in itertools.groupby(range(len(hit)), lambda i: (t.anchor[hit[i]], part[i]))]
+    assert [(hit[g[0]], hit[g[-1]], is_hot[g[0]]) for g in groups] == list(zip(a, b, piece, strict=True))
+    assert (key[~piece] == t.hash[t.anchor[a[~piece]]]).all()
