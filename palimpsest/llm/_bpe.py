@@ -2,7 +2,7 @@
 
 Two transducers are composed.  The first splits a text into pretokens: its states tell what the current
 pretoken can still become, its transitions are annotated with the boundaries they emit.  A text is cut into
-lanes of LANE characters; all lanes run side by side, first as maps from every possible state to a state,
+lanes of LANE characters; all lanes run side by side, first as maps from every possible state to a state (of the lane's last characters, if these settle it),
 then, after a prefix scan has composed the maps, from the true state of each lane.  The second transducer
 reads a whole pretoken and emits its tokens; its accepting entries (hash of the pretoken -> token ids and
 their count) are compiled when a pretoken is first met, for all new pretokens of a chunk together, and kept.
@@ -20,6 +20,8 @@ import regex
 from palimpsest.llm._vec import mix, prefix_hash, span_hash
 
 LANE = 256
+#: The last characters of a lane that are read first: if they lead all states to one, so does the whole lane.
+TAIL = 16
 #: Code points in one chunk of texts (a longer text makes its own chunk), and pretokens that a worker keeps.
 CHUNK_CHARS, KEEP = 1 << 20, 3 << 19
 LONG_PRETOKEN = 48
@@ -175,6 +177,13 @@ class Transducer:
         self.count, self.start, self.pool = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     # -- first transducer ---------------------------------------------------------------------------------
+    def maps(self, c: np.ndarray) -> np.ndarray:
+        """From every state the state after the characters of each lane (a column of classes)."""
+        maps = np.repeat(np.arange(N_STATES, dtype=np.uint8)[:, None], c.shape[1], 1)
+        for row in c:
+            maps = self.next[maps * np.uint8(12) + row]
+        return maps
+
     def boundaries(self, cls: np.ndarray) -> np.ndarray:
         """Which characters begin a pretoken; a text's end does too."""
         n = len(cls)
@@ -182,11 +191,11 @@ class Transducer:
         c = np.full(lanes * LANE, END, np.uint8)
         c[:n] = cls
         c = np.ascontiguousarray(c.reshape(lanes, LANE).T)
-        maps = np.repeat(np.arange(N_STATES, dtype=np.uint8)[:, None], lanes, 1)
-        twelve = np.uint8(12)
-        for row in c:
-            maps = self.next[maps * twelve + row]
+        maps = self.maps(c[-TAIL:])
+        open_ = np.flatnonzero((maps != maps[0]).any(0))
+        maps[:, open_] = self.maps(c[:, open_])
         maps = np.ascontiguousarray(maps.T)
+        twelve = np.uint8(12)
         d = 1
         while d < lanes:  # prefix scan: map i becomes the composition of maps 0 to i
             maps[d:] = np.take_along_axis(maps[d:], maps[:-d].astype(np.int64), 1)

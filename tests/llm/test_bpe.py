@@ -36,3 +36,27 @@ def test_small_cache_is_rebuilt(monkeypatch):
     t = m.Transducer(PATH)
     texts = random_texts(60)
     assert [x.tolist() for x in t.encode(texts)] == library(texts)
+
+
+@pytest.mark.parametrize("tail", [1, 2, 16])
+def test_tails_that_settle_no_lane_are_read_whole(monkeypatch, tail):
+    import palimpsest.llm._bpe as m
+
+    monkeypatch.setattr(m, "TAIL", tail)
+    monkeypatch.setattr(m, "LANE", 8)
+    read, t = [], m.Transducer(PATH)
+    real = t.maps
+    monkeypatch.setattr(t, "maps", lambda c: read.append(c.size) or real(c))
+    texts = random_texts(100) + ["it's's's we'll'll 12 " * 9, "'s" * 40, "''" * 40, " ' " * 40]
+    assert [x.tolist() for x in t.encode(texts)] == library(texts)
+    assert len(read) > 1 and read[1] > 0 if tail == 1 else True
+
+
+def test_ordinary_text_is_read_by_tails(monkeypatch):
+    import palimpsest.llm._bpe as m
+
+    read, t = [], m.Transducer(PATH)
+    real = t.maps
+    monkeypatch.setattr(t, "maps", lambda c: read.append(c.size) or real(c))
+    t.counts(["It's an ordinary text, of 12 words or  so.\n" * 200])
+    assert sum(read) * LANE <= 200 * 43 * 16 + 16 * LANE
