@@ -24,7 +24,12 @@ LANE = 256
 TAIL = 16
 #: Code points in one chunk of texts (a longer text makes its own chunk), and pretokens that a worker keeps.
 CHUNK_CHARS, KEEP = 1 << 20, 3 << 19
-LONG_PRETOKEN = 48
+#: Pretokens of more bytes are merged one by one, shorter ones side by side, so many at a time.
+LONG_PRETOKEN, BLOCK = 48, 2048
+#: Random slots tried for a row of the table of merges before it is made longer.
+TRIES = 200
+#: A place in a short pretoken takes so many bits beside a merge's rank; the rank of no merge, on which the places still fit 32 bits.
+PLACE, NONE = 6, np.int32(1 << 24)
 
 # character classes
 OTHER, LETTER, NUMBER, SPACE, WHITE, APOSTROPHE, STMD, R_, V_, L_, E_, END = range(12)
@@ -108,8 +113,10 @@ class Table:
     def get(self, h: np.ndarray) -> np.ndarray:
         size = (1 << self.bits) - 1
         at = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        out = np.where(self.keys[at] == h, self.values[at], -1)
-        open_ = np.flatnonzero((out < 0) & (self.values[at] >= 0))
+        out = self.values[at]
+        other = self.keys[at] != h
+        open_ = np.flatnonzero(other & (out >= 0))
+        out[other] = -1
         while len(open_):
             at[open_] = (at[open_] + 1) & size
             p = at[open_]
@@ -140,6 +147,14 @@ class Table:
         self.n += len(h)
 
 
+def extended(a: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """a, or a copy with as much room again, with more in the places after the used ones."""
+    if used + len(more) > len(a):
+        a = np.concatenate([a[:used], np.empty(max(used, len(more)), a.dtype)])
+    a[used : used + len(more)] = more
+    return a
+
+
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -156,33 +171,63 @@ class Transducer:
         vocab = d["model"]["vocab"]
         self.special = {x["content"]: x["id"] for x in d.get("added_tokens", [])}
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.byte_id = np.array([vocab[c] for c in byte_alphabet()], np.int64)
+        self.byte_id = np.array([vocab[c] for c in byte_alphabet()], np.int32)
         self.width = np.int64(max(vocab.values()) + 1)
         self.merge: dict[int, tuple[int, int]] = {}
         for rank, pair in enumerate(d["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merge.setdefault(int(vocab[a] * self.width + vocab[b]), (rank, vocab[a + b]))
-        keys = np.fromiter(self.merge, np.int64, len(self.merge))
-        order = np.argsort(keys)
-        self.pair_key = keys[order]
-        self.pair_rank, self.pair_new = (np.fromiter((m[i] for m in self.merge.values()), np.int64, len(keys))[order] for i in (0, 1))
-        self.pairs = Table()
-        self.pairs.put(mix(self.pair_key.view(np.uint64)), np.arange(len(keys), dtype=np.int32))
-        self.next, self.flag = split_transducer()
+        if len(d["model"]["merges"]) >= NONE:
+            raise ValueError(f"a vocabulary of {NONE} merges or more")
+        self.lay()
+        # at state * 16 + class: the next state * 16 and the emission; a table of bytes is read fastest by translate
+        after, emitted = (x.reshape(N_STATES, 12) for x in split_transducer())
+        steps = np.zeros((16, 16), np.uint8)
+        steps[:N_STATES, :12] = after << 4 | emitted
+        self.steps = steps.tobytes()
         self.classes = character_classes()
         self.reset()
 
+    def lay(self) -> None:
+        """Table of merges: the pair a, b lies at slot shift[a] + b, whose owner is a; rows of a's pairs are laid so that none meet."""
+        key = np.fromiter(self.merge, np.int64, len(self.merge))
+        rank, new = (np.fromiter((m[i] for m in self.merge.values()), np.int32, len(key)) for i in (0, 1))
+        self.made = np.zeros(int(rank.max(initial=-1)) + 1, np.int32)
+        self.made[rank] = new
+        span = int(self.width) + 1
+        self.shift, self.owner = np.zeros(span, np.int32), np.full(8 * len(key) + span, -1, np.int32)
+        order = np.argsort(key)
+        left, right = np.divmod(key[order], self.width)
+        first = np.flatnonzero(np.diff(left, prepend=-1))
+        end = np.append(first[1:], len(left))
+        rng = np.random.default_rng(0)
+        for k in np.argsort(first - end, kind="stable").tolist():  # long rows first
+            a, b = left[first[k]], right[first[k] : end[k]]
+            for d in rng.integers(len(self.owner) - span + 1, size=TRIES).tolist():
+                if (self.owner[b + d] < 0).all():
+                    break
+            else:  # it goes behind all others
+                d = len(self.owner)
+                self.owner = np.append(self.owner, np.full(span, -1, np.int32))
+            self.shift[a], self.owner[b + d] = d, a
+        self.rank = np.full(len(self.owner), NONE, np.int32)
+        self.rank[self.shift[left] + right] = rank[order]
+
     def reset(self) -> None:
         self.words = Table(16)
-        self.count, self.start, self.pool = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.count, self.start, self.pool, self.filled = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32), 0
 
     # -- first transducer ---------------------------------------------------------------------------------
+    def step(self, x: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """From states (times 16, what they emitted is ignored) by one character of each lane: the states (times 16) and what is emitted."""
+        return np.frombuffer((x & np.uint8(0xF0) | c).tobytes().translate(self.steps), np.uint8).reshape(x.shape)
+
     def maps(self, c: np.ndarray) -> np.ndarray:
         """From every state the state after the characters of each lane (a column of classes)."""
-        maps = np.repeat(np.arange(N_STATES, dtype=np.uint8)[:, None], c.shape[1], 1)
+        maps = np.repeat(np.arange(N_STATES, dtype=np.uint8)[:, None] << np.uint8(4), c.shape[1], 1)
         for row in c:
-            maps = self.next[maps * np.uint8(12) + row]
-        return maps
+            maps = self.step(maps, row)
+        return maps >> np.uint8(4)
 
     def boundaries(self, cls: np.ndarray) -> np.ndarray:
         """Which characters begin a pretoken; a text's end does too."""
@@ -195,16 +240,17 @@ class Transducer:
         open_ = np.flatnonzero((maps != maps[0]).any(0))
         maps[:, open_] = self.maps(c[:, open_])
         maps = np.ascontiguousarray(maps.T)
-        twelve = np.uint8(12)
         d = 1
-        while d < lanes:  # prefix scan: map i becomes the composition of maps 0 to i
-            maps[d:] = np.take_along_axis(maps[d:], maps[:-d].astype(np.int64), 1)
+        while d < lanes:  # prefix scan: map i becomes the composition of maps 0 to i; one that leads all states to one is that already
+            open_ = d + np.flatnonzero((maps[d:] != maps[d:, :1]).any(1))
+            if not len(open_):
+                break
+            maps[open_] = np.take_along_axis(maps[open_], maps[open_ - d].astype(np.int64), 1)
             d *= 2
-        state = np.concatenate([[np.uint8(S_START)], maps[:-1, S_START]]).astype(np.uint8)
+        x = np.concatenate([[np.uint8(S_START)], maps[:-1, S_START]]).astype(np.uint8) << np.uint8(4)
         flags = np.empty_like(c)
         for t, row in enumerate(c):
-            at = state * twelve + row
-            flags[t], state = self.flag[at], self.next[at]
+            flags[t] = x = self.step(x, row)
         flags = flags.T.reshape(-1)[:n]
         out = (flags & 1).astype(bool)
         out[:-1] |= (flags[1:] & 2).astype(bool)
@@ -212,55 +258,63 @@ class Transducer:
 
     # -- second transducer --------------------------------------------------------------------------------
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Index of the merge of each pair, or -1; b < 0 is padding."""
-        return np.where(b < 0, -1, self.pairs.get(mix((a * self.width + b).view(np.uint64).ravel())).reshape(a.shape))
-
-    def compile(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Token counts of pretokens, where in the returned ids each one's begin, and these ids."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        counts, starts, size = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64), 0
+        """Rank of the merge of each pair of ids (the width: padding), or NONE."""
+        at = self.shift[a] + b
+        return np.where(self.owner[at] == a, self.rank[at], NONE)
+
+    def merged(self, tok: np.ndarray) -> np.ndarray:
+        """Tokens of short pretokens: a column each, of the bytes' ids and then padding, as is the last row.
+
+        Each column has its least rank and where that stands in one number; all columns merge their first such pair in a round.
+        """
+        tok, out = tok.copy(), tok.copy()
+        place = np.arange(len(tok) - 1, dtype=np.int32)[:, None]
+        key = (self.ranks(tok[:-1], tok[1:]) << PLACE) | place
+        live = np.arange(tok.shape[1])
+        while True:
+            best = key.min(0)
+            go = best >> PLACE < NONE
+            n = np.count_nonzero(go)
+            if n * 4 <= 3 * len(live):
+                out[:, live[~go]] = tok[:, ~go]
+                tok, key, live, best, go = tok[:, go], key[:, go], live[go], best[go], go[go]
+                if not n:
+                    return out
+            p = np.where(go, best & ((1 << PLACE) - 1), len(place))
+            after = place[1:] > p
+            tok[1:-1] = np.where(after, tok[2:], tok[1:-1])
+            key[1:-1] = np.where(after[:-1], key[2:] - 1, key[1:-1])
+            key[-1] = np.where(after[-1], (NONE << PLACE) | place[-1], key[-1])
+            at = np.flatnonzero(go)
+            p = p[at]
+            new = self.made[best[at] >> PLACE]
+            tok[p, at] = new
+            key[p, at] = (self.ranks(new, tok[p + 1, at]) << PLACE) | p
+            at, p, new = at[p > 0], p[p > 0] - 1, new[p > 0]
+            key[p, at] = (self.ranks(tok[p, at], new) << PLACE) | p
+
+    def compile(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token counts of pretokens (their bytes one after another, and how many each has), where in the returned ids each one's begin, and these ids."""
+        counts, starts, size = np.zeros(len(lengths), np.int32), np.zeros(len(lengths), np.int64), 0
         ids: list[np.ndarray] = []
-        short = np.flatnonzero(lengths <= LONG_PRETOKEN)
-        for k in np.flatnonzero(lengths > LONG_PRETOKEN):
-            ids.append(np.array(self.compile_long(words[k]), np.int32))
+        begin, pad = np.cumsum(lengths) - lengths, np.int32(self.width)
+        order = np.argsort(lengths, kind="stable")
+        cut = int(np.searchsorted(lengths[order], LONG_PRETOKEN, "right"))
+        for k in order[cut:]:
+            ids.append(np.array(self.compile_long(data[begin[k] : begin[k] + lengths[k]].tobytes()), np.int32))
             counts[k], starts[k] = len(ids[-1]), size
             size += len(ids[-1])
-        for lo, hi in ((0, 4), (4, 8), (8, 12), (12, 20), (20, LONG_PRETOKEN)):
-            own = short[(lengths[short] > lo) & (lengths[short] <= hi)]
-            for at in range(0, len(own), 20_000):
-                part = own[at : at + 20_000]
-                tok = np.full((len(part), hi + 1), -1, np.int64)
-                flat = np.frombuffer(b"".join([words[k] for k in part]), np.uint8)
-                tok[np.arange(hi + 1)[None, :] < lengths[part][:, None]] = self.byte_id[flat]
-                live, n = np.arange(len(part)), lengths[part].copy()
-                idx = self.ranks(tok[:, :-1], tok[:, 1:])
-                big = np.int64(1 << 40)
-                columns = np.arange(hi + 1)
-                while len(live):
-                    r = np.where(idx[live] >= 0, self.pair_rank[idx[live]], big)
-                    p = r.argmin(1)
-                    go = r[np.arange(len(live)), p] < big
-                    live, p = live[go], p[go]
-                    if not len(live):
-                        break
-                    t = tok[live]
-                    new = self.pair_new[idx[live, p]]
-                    moved = np.minimum(columns[None, :] + (columns[None, :] > p[:, None]), hi)
-                    t = np.take_along_axis(t, moved, 1)
-                    t[:, hi] = -1
-                    t[np.arange(len(live)), p] = new
-                    n[live] -= 1
-                    tok[live] = t
-                    i = np.take_along_axis(idx[live], np.minimum(moved[:, :-1], hi - 1), 1)
-                    i[:, hi - 1] = -1
-                    rows = np.arange(len(live))
-                    i[rows, p] = self.ranks(t[rows, p], t[rows, p + 1])
-                    left = np.flatnonzero(p > 0)
-                    i[left, p[left] - 1] = self.ranks(t[left, p[left] - 1], t[left, p[left]])
-                    idx[live] = i
-                counts[part], starts[part] = n, size + np.cumsum(n) - n
-                ids.append(tok[columns[None, :] < n[:, None]].astype(np.int32))
-                size += len(ids[-1])
+        for at in range(0, cut, BLOCK):
+            part = order[at : min(at + BLOCK, cut)]
+            column = np.arange(lengths[part[-1]] + 1)[:, None]
+            inside = column < lengths[part]
+            tok = np.where(inside, self.byte_id[data[np.where(inside, begin[part] + column, 0)]], pad)
+            tok = np.ascontiguousarray(self.merged(tok).T)
+            own = tok != pad
+            counts[part] = n = own.sum(1)
+            starts[part] = size + np.cumsum(n) - n
+            ids.append(tok[own])
+            size += len(ids[-1])
         return counts, starts, np.concatenate(ids) if ids else np.zeros(0, np.int32)
 
     def compile_long(self, word: bytes) -> list[int]:
@@ -314,11 +368,14 @@ class Transducer:
                 got, miss = np.full(len(h), -1, np.int32), np.arange(len(h))
             new, first, back = np.unique(h[miss], return_index=True, return_inverse=True)
             first = miss[first]
-            words = [joined[i:j].encode() for i, j in zip(a[first].tolist(), b[first].tolist(), strict=True)]
-            counts, starts, ids = self.compile(words)
-            base = len(self.count)
-            self.start = np.concatenate([self.start, len(self.pool) + starts])
-            self.count, self.pool = np.concatenate([self.count, counts]), np.concatenate([self.pool, ids])
+            size = b[first] - a[first]
+            own = codes[np.arange(size.sum()) + np.repeat(a[first] - (np.cumsum(size) - size), size)]
+            data = np.frombuffer(own.tobytes().decode("utf-32-le").encode(), np.uint8)
+            wide = np.cumsum(1 + (own >= 0x80) + (own >= 0x800) + (own >= 0x10000))
+            counts, starts, ids = self.compile(data, np.diff(wide[np.cumsum(size) - 1], prepend=0))
+            base = self.words.n
+            self.start, self.count = extended(self.start, base, self.filled + starts), extended(self.count, base, counts)
+            self.pool, self.filled = extended(self.pool, self.filled, ids), self.filled + len(ids)
             self.words.put(new, np.arange(base, base + len(new), dtype=np.int32))
             got[miss] = base + back
         return got, per

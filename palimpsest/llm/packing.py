@@ -123,8 +123,10 @@ def pack_shard(docs: list[np.ndarray], length: int, corpus: Corpus) -> list[tupl
             seed = int(np.flatnonzero(unused)[0])
             put(seed)
             continue
-        order = np.argsort(-index.scores(seed), kind="stable")
-        for d in order[unused[order]].tolist():
+        score = np.where(unused, index.scores(seed), -np.inf)
+        for _ in range(np.count_nonzero(unused)):
+            d = int(score.argmax())
+            score[d] = -np.inf
             if put(d):
                 seed = d
                 break

@@ -60,3 +60,56 @@ def test_ordinary_text_is_read_by_tails(monkeypatch):
     monkeypatch.setattr(t, "maps", lambda c: read.append(c.size) or real(c))
     t.counts(["It's an ordinary text, of 12 words or  so.\n" * 200])
     assert sum(read) * LANE <= 200 * 43 * 16 + 16 * LANE
+
+
+def test_merging_looks_up_no_padding_of_other_lengths(monkeypatch):
+    import palimpsest.llm._bpe as m
+
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("etaoinshr") for _ in range(13)) for _ in range(300)} | {"".join(rng.choice("etaoinżł") for _ in range(21)) for _ in range(30)})
+    asked, t = [], m.Transducer(PATH)
+    real = t.ranks
+    monkeypatch.setattr(t, "ranks", lambda a, b: asked.append(b.size) or real(a, b))
+    got = [x.tolist() for x in t.encode(words)]
+    assert got == library(words)
+    by_length = {n: sum(len(w.encode()) == n for w in words) for n in {len(w.encode()) for w in words}}
+    merges = sum(len(w.encode()) - len(x) for w, x in zip(words, got, strict=True))
+    # a block is as wide as its longest pretoken; here there is one block
+    assert sum(asked) <= max(by_length) * len(words) + 2 * merges and sum(by_length.values()) < m.BLOCK
+    asked.clear()
+    same = [w for w in words if len(w.encode()) == 13]
+    t.reset()
+    merges = sum(len(w.encode()) - len(x) for w, x in zip(same, t.encode(same), strict=True))
+    assert sum(asked) <= 13 * len(same) + 2 * merges
+
+
+def test_known_pretokens_are_not_copied_for_each_new_one():
+    import palimpsest.llm._bpe as m
+
+    t, pools = m.Transducer(PATH), []
+    texts = [f"qz{k}x {k * 7919}" for k in range(400)]
+    got = []
+    for x in texts:
+        got.append(t.encode([x])[0].tolist())
+        pools.append(t.pool)
+    assert got == library(texts) and len({id(x) for x in pools}) <= 20
+
+
+def test_a_run_of_lanes_that_no_character_settles():
+    import palimpsest.llm._bpe as m
+
+    t = m.Transducer(PATH)
+    texts = ["'" * (LANE * 5) + "s", "r" * LANE, "'re" * LANE + " " * (LANE * 3) + "x", "ab " * LANE, "''s" * (LANE * 2)]
+    assert [x.tolist() for x in t.encode(texts)] == library(texts)
+
+
+def test_rows_of_merges_that_find_no_room_go_behind_the_others(monkeypatch):
+    import palimpsest.llm._bpe as m
+
+    monkeypatch.setattr(m, "TRIES", 1)
+    t = m.Transducer(PATH)
+    assert len(t.owner) > 8 * len(t.merge) + t.width + 1 and (t.owner >= 0).sum() == len(t.merge)
+    a, b = (m.np.array(x, m.np.int32) for x in zip(*(divmod(k, int(t.width)) for k in t.merge), strict=True))
+    assert t.ranks(a, b).tolist() == [x[0] for x in t.merge.values()] and t.made[t.ranks(a, b)].tolist() == [x[1] for x in t.merge.values()]
+    texts = random_texts(60)
+    assert [x.tolist() for x in t.encode(texts)] == library(texts)
